@@ -28,7 +28,9 @@ def unusable(feed: Feed) -> tuple[str, Column, str]:
 
 
 def cast_feed(raw: DataFrame, feed: Feed) -> DataFrame:
-    return raw.select(*[cast_text(f.name, f.kind).alias(f.name) for f in feed.fields])
+    return raw.select(
+        *[f.name if f.kind == "string" else cast_text(f.name, f.kind).alias(f.name) for f in feed.fields]
+    )
 
 
 def stage_rows(raw: DataFrame, feed: Feed, dedupe: bool | None = None) -> DataFrame:

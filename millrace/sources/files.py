@@ -84,10 +84,17 @@ def flag_rejects(rows: DataFrame, feed: Feed) -> DataFrame:
     return rows.withColumn("_reject", reject_reason(feed))
 
 
+def good_rows(rows: DataFrame, feed: Feed) -> DataFrame:
+    """Rows that load. One predicate per column: the optimizer multiplies a predicate
+    over many columns by every later renaming of one of them."""
+    for f in feed.fields:
+        rows = rows.where(F.col(f.name).isNull() | (F.length(f.name) <= f.width))
+    return rows
+
+
 def split_rejects(rows: DataFrame, feed: Feed) -> tuple[DataFrame, DataFrame]:
     """Rows that load and rows that do not; the latter with `_reject`, the reason."""
-    flagged = flag_rejects(rows, feed)
-    return flagged.where(F.col("_reject").isNull()).drop("_reject"), flagged.where(F.col("_reject").isNotNull())
+    return good_rows(rows, feed), flag_rejects(rows, feed).where(F.col("_reject").isNotNull())
 
 
 def load_report(flagged: DataFrame, feed: Feed, load_ts: dt.datetime) -> DataFrame:
