@@ -524,6 +524,6 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     lake = Lake(spark, scratch(spark, "lake"))
     layers.run_raw(lake, landing, [feed], FIRST_LOAD)
     layers.run_staging(lake, [feed], FIRST_LOAD)
-    layers.run_curated(lake, FIRST_LOAD)
+    layers.run_curated(lake, FIRST_LOAD, feeds=[feed.name])
     rows = layers.read_target(lake, feed)
     return plain(rows.select("customer_sk", "customer_id", "is_current", "eff_start_ts", "eff_end_ts"))

@@ -42,6 +42,7 @@ class Feed:
     update: tuple[str, ...] | None = None  # columns a staging match overwrites; None is all
     gate: tuple[str, ...] = ()  # a staging match counts only when one of these differs
     insert_only: bool = False
+    month: str | None = None  # typed column whose month partitions the merged tables; no update changes it
 
     @property
     def columns(self) -> list[str]:
@@ -232,6 +233,7 @@ BILLING = Feed(
         Accepted("invoice_status", ("PAID", "OPEN", "OVERDUE")),
     ),
     update=("usage_charges", "tax_amount", "total_amount", "invoice_status"),
+    month="billing_period",
     target=Target(
         "fact_billing",
         "STAGING_TO_CURATED_FACT_BILLING",
@@ -261,6 +263,7 @@ PAYMENTS = Feed(
         Accepted("payment_status", ("SUCCESS", "FAILED", "PENDING", "REFUNDED")),
     ),
     update=("payment_status", "amount"),
+    month="payment_date",
     target=Target(
         "fact_payments",
         "STAGING_TO_CURATED_FACT_PAYMENTS",
@@ -319,6 +322,7 @@ SUPPORT_TICKETS = Feed(
         Accepted("channel", ("CALL", "CHAT", "EMAIL", "APP")),
     ),
     update=("closed_at", "ticket_status"),
+    month="opened_at",
     target=Target(
         "fact_support_tickets",
         "STAGING_TO_CURATED_FACT_TICKETS",

@@ -13,16 +13,12 @@ from millrace.operators.latest import latest_by_key, newest_first
 
 # A source of at most this many rows may be broadcast. By its declared widths a feed row
 # is under 1,000 characters, 4 kB at most, so this bounds the broadcast table at 200 MB.
+# Callers know the count of rows they wrote or checked before.
 SMALL_ROWS = 50_000
 
 Side = Callable[[str], Column]
 
 
-def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    """Whether `df`, already written or checkpointed, has at most `rows` rows."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def tracked_change(columns: Sequence[str]) -> Callable[[Side, Side], Column]:
     """True when a tracked column differs. A null on either side is no difference."""
 
@@ -50,7 +46,7 @@ def upsert(
     other columns keep their first value. A new key is inserted with every source
     column; target columns the source lacks are null there.
 
-    One full outer join does it. With `small` (see `is_small`) the source is broadcast
+    One full outer join does it. With `small` (at most SMALL_ROWS rows) the source is broadcast
     and the target is not shuffled: a left join for the matches, and an anti join
     against the matched keys, of which there are no more than source rows.
     """

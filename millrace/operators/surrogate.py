@@ -30,8 +30,3 @@ def assign_keys(rows: DataFrame, name: str, after: int, order: str) -> DataFrame
     return placed.join(F.broadcast(offsets), "_part").select(
         (F.lit(after) + F.col("_offset") + position + 1).cast("bigint").alias(name), *rows.columns
     )
-
-
-def highest_key(table: DataFrame, name: str) -> int:
-    """The largest key given out so far, 0 for none."""
-    return table.agg(F.coalesce(F.max(name), F.lit(0))).first()[0]

@@ -10,20 +10,20 @@ import traceback
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.feeds import CURATED_ORDER, FEEDS, Feed, pick
+from millrace.functions.casts import month_of
 from millrace.operators import quality, runlog
-from millrace.operators.changes import has_changes
 from millrace.operators.curate import append_fact, merge_target, target_rows
 from millrace.operators.history import end_versions, open_versions
-from millrace.operators.merge import SMALL_ROWS, insert_absent, is_small, op_counters, upsert
-from millrace.operators.staging import merge_stage, stage_rows, unusable
-from millrace.operators.surrogate import assign_keys, highest_key
+from millrace.operators.merge import SMALL_ROWS, insert_absent, op_counters, upsert
+from millrace.operators.staging import cast_feed, merge_stage, stage_rows, unusable
+from millrace.operators.surrogate import assign_keys
 from millrace.plans import reports
 from millrace.sources import files
-from millrace.sources.tables import Batch, Lake
+from millrace.sources.tables import Batch, Lake, Part
 
 SUMMARY_SCHEMA = (
     "run_id bigint, job_name string, feed_name string, table_name string, rule_type string, column_name string, "
@@ -130,13 +130,19 @@ def stage(
     what was just written, not a second run of the merge.
     """
     rows = stage_rows(raw, feed)
-    staged = read_stage(lake, feed)
     if feed.insert_only:
+        staged = read_stage(lake, feed)
+        if small:  # row groups of other keys are skipped by their statistics
+            low, high = raw.agg(F.min(feed.key), F.max(feed.key)).first()
+            staged = staged.where(F.col(feed.key).between(low, high))
         merged = merge_stage(staged, rows, feed, batch_ts, dedupe=dedupe, small=small)
         path, counts = lake.write(batch, stage_table(feed), merged.drop("_op"))
         return path, {"rows_inserted": counts["rows"], "rows_updated": 0}
+    staged = read_touched(lake, stage_table(feed), feed.stage_schema, feed, cast_feed(raw, feed), small)
     merged = merge_stage(staged, rows, feed, batch_ts, small=small)
-    path, counts = lake.write(batch, stage_table(feed), merged, replaces=True, counters=op_counters())
+    path, counts = lake.write(
+        batch, stage_table(feed), merged, replaces=True, split_by=month_part(feed), counters=op_counters()
+    )
     written = lake.read_paths([path], f"{feed.stage_schema}, _op string").where("_op <> 'keep'")
     change_path, _ = lake.write(
         batch,
@@ -150,6 +156,33 @@ def stage(
     return change_path, counts
 
 
+def month_part(feed: Feed) -> Column | None:
+    """The partition of a merged row: its month, `none` where that is no month."""
+    if feed.month is None:
+        return None
+    kinds = {f.name: f.kind for f in feed.fields}
+    month = F.col(feed.month) if kinds[feed.month] == "string" else month_of(feed.month)
+    return F.when(month.rlike(quality.YEAR_MONTH), month).otherwise("none")
+
+
+def read_touched(lake: Lake, table: str, schema: str, feed: Feed, rows: DataFrame, small: bool) -> DataFrame:
+    """The part of a table a merge of `rows` can change.
+
+    For tables partitioned by month that is the months of rows whose key comes in, and
+    the months of the incoming rows; the list of months is all that reaches the driver.
+    Only keys and months are read to find them.
+    """
+    part = month_part(feed)
+    if part is None:
+        return lake.read(table, schema)
+    keys = rows.select(feed.key)
+    if small:
+        keys = F.broadcast(keys)
+    matched = lake.read(table, schema).select(feed.key, part.alias("part")).join(keys, feed.key, "left_semi")
+    months = matched.select("part").unionByName(rows.select(part.alias("part"))).distinct()
+    return lake.read(table, schema, only={row[0] for row in months.collect()})
+
+
 def read_changes(lake: Lake, feed: Feed, after: str | None = None) -> DataFrame:
     """What staging batches later than `after` changed."""
     if feed.insert_only:
@@ -161,9 +194,10 @@ def as_inserts(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_action", F.lit("INSERT")).withColumn("_is_update", F.lit(False))
 
 
-def curate(lake: Lake, batch: Batch, feed: Feed, changes: DataFrame, batch_ts: dt.datetime) -> dict[str, int]:
-    """Carry a stored change set over into the feed's target."""
-    small = is_small(changes)
+def curate(
+    lake: Lake, batch: Batch, feed: Feed, changes: DataFrame, batch_ts: dt.datetime, small: bool = False
+) -> dict[str, int]:
+    """Carry a stored change set over into the feed's target; `small` if it may be broadcast."""
     if feed.target.kind == "scd2":
         return _curate_history(lake, batch, feed, changes, batch_ts, small)
     if feed.target.kind == "append":
@@ -178,12 +212,13 @@ def curate(lake: Lake, batch: Batch, feed: Feed, changes: DataFrame, batch_ts: d
         )
         return {"rows_inserted": counts["rows"], "rows_updated": 0}
 
-    target = read_target(lake, feed)
     if feed.target.surrogate:
         sk = feed.target.surrogate
+        target = read_target(lake, feed)
         rows = target_rows(changes, feed)
         fresh = insert_absent(target, rows, [feed.key], small=small).select(feed.key)
-        numbered = assign_keys(fresh, sk, highest_key(target, sk), feed.key)
+        last = int(lake.noted(f"highest/{sk}") or 0)
+        numbered = assign_keys(fresh, sk, last, feed.key)
         merged = upsert(
             target,
             rows.join(numbered, feed.key, "left"),
@@ -193,9 +228,15 @@ def curate(lake: Lake, batch: Batch, feed: Feed, changes: DataFrame, batch_ts: d
             batch_ts=batch_ts,
             small=small,
         )
-    else:
-        merged = merge_target(target, changes, feed, batch_ts, small=small)
-    _, counts = lake.write(batch, target_table(feed), merged, replaces=True, counters=op_counters())
+        _, counts = lake.write(batch, target_table(feed), merged, replaces=True, counters=op_counters())
+        batch.note(f"highest/{sk}", str(last + counts["rows_inserted"]))
+        return counts
+
+    target = read_touched(lake, target_table(feed), feed.target_schema, feed, changes.select(*feed.columns), small)
+    merged = merge_target(target, changes, feed, batch_ts, small=small)
+    _, counts = lake.write(
+        batch, target_table(feed), merged, replaces=True, split_by=month_part(feed), counters=op_counters()
+    )
     return counts
 
 
@@ -208,7 +249,7 @@ def _curate_history(
     """
     sk = feed.target.surrogate
     current = lake.read(DIM_CURRENT, feed.target_schema)
-    last = max(highest_key(current, sk), highest_key(lake.read(DIM_HISTORY, feed.target_schema), sk))
+    last = int(lake.noted(f"highest/{sk}") or 0)
     opened = assign_keys(open_versions(changes, feed.key, feed.columns, batch_ts), sk, last, feed.key)
     ended = end_versions(current, changes, feed.key, batch_ts, small=small)
     versions = ended.unionByName(opened).withColumn("_open", F.col("is_current"))
@@ -224,8 +265,9 @@ def _curate_history(
         ],
         register=False,
     )
-    batch.parts.append((DIM_CURRENT, True, f"{path}/_open=true", counts["current"]))
-    batch.parts.append((DIM_HISTORY, False, f"{path}/_open=false", counts["closed"]))
+    batch.parts.append(Part(DIM_CURRENT, True, None, f"{path}/_open=true", counts["current"]))
+    batch.parts.append(Part(DIM_HISTORY, False, None, f"{path}/_open=false", counts["closed"]))
+    batch.note(f"highest/{sk}", str(last + counts["opened"]))
     return {"rows_inserted": counts["opened"], "rows_updated": counts["closed"]}
 
 
@@ -236,6 +278,7 @@ class Run:
     """Run log of one layer: start rows go out before the work, end rows after it."""
 
     def __init__(self, lake: Lake, layer: str, batch_ts: dt.datetime, triggered_by: str = "LAYER_JOB"):
+        lake.refresh()
         self.lake, self.layer, self.at, self.triggered_by = lake, layer, batch_ts, triggered_by
         self.batch_id = f"{batch_ts:%Y%m%dT%H%M%S}-{layer}"
         self.base = int(f"{batch_ts:%y%m%d%H%M%S}") * 1000 + {"raw": 0, "validate": 100, "staging": 200, "curated": 300}[layer]
@@ -411,18 +454,20 @@ def run_staging(
     return run.run([(f.stage_job, lambda i, f=f: merge(f, i)) for f in feeds], threads)
 
 
-def run_curated(lake: Lake, batch_ts: dt.datetime, threads: int = 4) -> list[tuple]:
+def run_curated(
+    lake: Lake, batch_ts: dt.datetime, threads: int = 4, feeds: Iterable[str] = CURATED_ORDER
+) -> list[tuple]:
     """Carry the changes of all feeds over. How far a target has read is published with it."""
     run = Run(lake, "curated", batch_ts)
 
     def carry(feed: Feed, run_id: int) -> dict:
         source = stage_table(feed) if feed.insert_only else change_table(feed)
         done = lake.noted(f"curated/{feed.name}")
-        changes = read_changes(lake, feed, done)
-        if not has_changes(changes):
+        waiting = lake.count(source, done)
+        if not waiting:
             return {"comments": "no changes to merge"}
         batch = lake.begin(_feed_batch(run.batch_id, feed))
-        counts = curate(lake, batch, feed, changes, batch_ts)
+        counts = curate(lake, batch, feed, read_changes(lake, feed, done), batch_ts, waiting <= SMALL_ROWS)
         batch.note(f"curated/{feed.name}", lake.batches(source)[-1])
         lake.commit(batch, batch_ts)
         return {
@@ -432,8 +477,8 @@ def run_curated(lake: Lake, batch_ts: dt.datetime, threads: int = 4) -> list[tup
             "comments": f"{feed.target.table} merge complete",
         }
 
-    feeds = [FEEDS[name] for name in CURATED_ORDER]
-    return run.run([(f.target.job, lambda i, f=f: carry(f, i)) for f in feeds], threads)
+    jobs = [(FEEDS[name].target.job, lambda i, f=FEEDS[name]: carry(f, i)) for name in feeds]
+    return run.run(jobs, threads)
 
 
 def run_layers(

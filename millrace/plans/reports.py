@@ -114,7 +114,7 @@ def open_errors(errors: DataFrame, runs: DataFrame) -> DataFrame:
         .select(*names)
         .join(status, "run_id", "left")
         .select(*names, "run_status")
-        .orderBy(F.desc("error_time"))
+        .orderBy(F.desc("error_time"), F.desc("error_id"))
     )
 
 
@@ -141,8 +141,11 @@ def validation_summary_today(summary: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def open_validation_errors(errors: DataFrame) -> DataFrame:
+    """Newest first. All errors of a run share their time, so the sort goes on by record:
+    its ranges can then split what is one time value."""
     names = [c for c in errors.columns if c not in ("job_name", "raw_record", "is_resolved", "resolved_at", "resolved_by")]
-    return errors.where(~F.col("is_resolved")).select(*names).orderBy(F.desc("logged_at"))
+    order = (F.desc("logged_at"), "record_key", "source_file_name", "column_name", "failed_value")
+    return errors.where(~F.col("is_resolved")).select(*names).orderBy(*order)
 
 
 def count_mismatches(counts: DataFrame) -> DataFrame:
@@ -157,7 +160,7 @@ def count_mismatches(counts: DataFrame) -> DataFrame:
             "row_count_variance",
             "checked_at",
         )
-        .orderBy(F.desc("checked_at"))
+        .orderBy(F.desc("checked_at"), "source_file_name")
     )
 
 

@@ -3,7 +3,8 @@
 A batch writes its parts to new folders and then appends its rows to the log. Readers
 follow the log, so nothing being read is ever overwritten, a job that dies before its
 commit leaves no trace, and all tables of a batch appear together. A batch that was
-committed is refused if it is written again.
+committed is refused if it is written again. A merge that knows which partitions it
+touches replaces only those.
 
 One writer per table at a time is assumed.
 """
@@ -12,29 +13,41 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Sequence
+import threading
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 COMMIT_SCHEMA = (
-    "table_name string, batch_id string, seq bigint, replaces boolean, path string, row_count bigint, "
-    "committed_at timestamp_ntz"
+    "table_name string, batch_id string, seq bigint, replaces boolean, part string, path string, "
+    "row_count bigint, committed_at timestamp_ntz"
 )
 
 
+class Part(NamedTuple):
+    """A folder that is added to a table, or stands in for the table or one partition of it."""
+
+    table: str
+    replaces: bool
+    part: str | None
+    path: str
+    rows: int
+
+
 @dataclass
 class Batch:
     """Parts written but not yet published."""
 
     batch_id: str
-    parts: list[tuple[str, bool, str, int]] = field(default_factory=list)
+    parts: list[Part] = field(default_factory=list)
 
     def note(self, name: str, value: str) -> None:
         """Publish a small value along with the tables, such as how far a reader got."""
-        self.parts.append((f"note:{name}", True, value, 0))
+        self.parts.append(Part(f"note:{name}", True, None, value, 0))
 
 
 class Lake:
@@ -44,14 +57,24 @@ class Lake:
         self.spark = spark
         self.root = root.rstrip("/")
         self._log = f"{self.root}/commits"
+        self._rows: list | None = None
+        self._lock = threading.RLock()
         spark.createDataFrame([], COMMIT_SCHEMA).write.mode("ignore").parquet(f"{self._log}/commit=none")
 
     def commits(self) -> DataFrame:
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(self._log).drop("commit")
 
+    def refresh(self) -> None:
+        """Forget the log as read so far; what other writers have published since shows up."""
+        with self._lock:
+            self._rows = None
+
     def _entries(self, table: str) -> list:
-        """Log rows of one table, oldest first: one or a few per batch, never data."""
-        return self.commits().where(F.col("table_name") == table).orderBy("seq", "batch_id").collect()
+        """Log rows of one table, oldest first: a few per batch, never data. Read once, then kept."""
+        with self._lock:
+            if self._rows is None:
+                self._rows = sorted(self.commits().collect(), key=lambda r: (r.seq, r.batch_id))
+            return [r for r in self._rows if r.table_name == table]
 
     def noted(self, name: str) -> str | None:
         entries = self._entries(f"note:{name}")
@@ -60,21 +83,34 @@ class Lake:
     def batches(self, table: str) -> list[str]:
         return list(dict.fromkeys(row.batch_id for row in self._entries(table)))
 
-    def parts(self, table: str, after: str | None = None) -> list[str]:
-        """Folders that make up the table now, or those added since batch `after`."""
-        paths: list[str] = []
+    def _live(self, table: str, after: str | None = None) -> dict[str | None, list]:
+        """Log rows that make up the table now by partition, or those added since batch `after`."""
+        live: dict[str | None, list] = {}
         for row in self._entries(table):
-            if row.replaces:
-                paths = []
+            if row.replaces and row.part is None:
+                live = {}
+            elif row.replaces:
+                live[row.part] = []
             if row.row_count:
-                paths.append(row.path)
+                live.setdefault(row.part, []).append(row)
             if row.batch_id == after:
-                paths = []
-        return paths
+                live = {}
+        return live
+
+    def parts(self, table: str, after: str | None = None, only: Collection[str] | None = None) -> list[str]:
+        """Folders of the table; `only` limits them to some partitions."""
+        live = self._live(table, after)
+        return [row.path for part, rows in live.items() if only is None or part in only for row in rows]
+
+    def count(self, table: str, after: str | None = None) -> int:
+        """Rows according to the log; no data is read."""
+        return sum(row.row_count for rows in self._live(table, after).values() for row in rows)
 
-    def read(self, table: str, schema: str, after: str | None = None) -> DataFrame:
+    def read(
+        self, table: str, schema: str, after: str | None = None, only: Collection[str] | None = None
+    ) -> DataFrame:
         """The table, or with `after` what later batches added. Empty if there is nothing."""
-        return self.read_paths(self.parts(table, after), schema)
+        return self.read_paths(self.parts(table, after, only), schema)
 
     def read_paths(self, paths: Sequence[str], schema: str) -> DataFrame:
         struct = StructType.fromDDL(schema)
@@ -96,6 +132,7 @@ class Lake:
         rebalance_by: Sequence[str] = (),
         partition_by: Sequence[str] = (),
         sort_within: Sequence[str] = (),
+        split_by: Column | None = None,
         counters: Sequence[Column] = (),
         register: bool = True,
     ) -> tuple[str, dict[str, int]]:
@@ -103,10 +140,14 @@ class Lake:
 
         Counts are taken in the writing stage, where a task's figures enter once however
         often the task runs. `rebalance_by` groups rows into files of even size: small
-        groups share a file and a large one is split over several tasks.
+        groups share a file and a large one is split over several tasks. With `split_by`
+        each value becomes a partition that later batches can replace by itself.
         """
         if batch.batch_id in self.batches(table):
             raise ValueError(f"{table} already holds batch {batch.batch_id}")
+        if split_by is not None:
+            df = df.withColumn("_part", split_by)
+            rebalance_by = partition_by = ["_part"]
         if rebalance_by:
             df = df.hint("rebalance", *[F.col(c) for c in rebalance_by])
         if sort_within:
@@ -118,8 +159,11 @@ class Lake:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
         counts = dict(seen.get)
-        if register:
-            batch.parts.append((table, replaces, path, counts["rows"]))
+        if split_by is not None and counts["rows"]:
+            written = self.spark.read.schema("_part string").parquet(path).groupBy("_part").count().collect()
+            batch.parts += [Part(table, replaces, r["_part"], f"{path}/_part={r['_part']}", r["count"]) for r in written]
+        elif register:
+            batch.parts.append(Part(table, replaces, None, path, counts["rows"]))
         return path, counts
 
     def commit(self, batch: Batch, at: dt.datetime) -> None:
@@ -129,7 +173,10 @@ class Lake:
         """
         if not batch.parts:
             return
-        seq = self.commits().agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] + 1
-        rows = [(table, batch.batch_id, seq, replaces, path, n, at) for table, replaces, path, n in batch.parts]
-        self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1).write.parquet(f"{self._log}/commit={batch.batch_id}")
+        with self._lock:
+            seq = self.commits().agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] + 1
+            rows = [(p.table, batch.batch_id, seq, p.replaces, p.part, p.path, p.rows, at) for p in batch.parts]
+            log = self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
+            log.write.parquet(f"{self._log}/commit={batch.batch_id}")
+            self._rows = None
         batch.parts = []

@@ -37,8 +37,10 @@ def stream_raw(lake: Lake, feed: Feed, folder: str, checkpoint: str, trigger: di
 
     def take(rows: DataFrame, number: int) -> None:
         batch_id = f"stream-{number:09d}"
-        if batch_id not in lake.batches(raw_table(feed)) and not rows.isEmpty():
-            batch, at = lake.begin(batch_id), _batch_time(rows)
+        lake.refresh()
+        at = None if batch_id in lake.batches(raw_table(feed)) else _batch_time(rows)
+        if at is not None:
+            batch = lake.begin(batch_id)
             land(lake, batch, feed, rows, at)
             lake.commit(batch, at)
 
@@ -56,9 +58,11 @@ def stream_to_target(
 
     def take(rows: DataFrame, number: int) -> None:
         batch_id = f"stream-{number:09d}"
-        if batch_id in lake.batches(raw_table(feed)) or rows.isEmpty():
+        lake.refresh()
+        at = None if batch_id in lake.batches(raw_table(feed)) else _batch_time(rows)
+        if at is None:
             return
-        batch, at = lake.begin(batch_id), _batch_time(rows)
+        batch = lake.begin(batch_id)
         raw_path, counts = land(lake, batch, feed, rows, at)
         raw = lake.read_paths([raw_path], f"{feed.raw_schema}, _reject string").where("_reject IS NULL").drop("_reject")
         path, _ = stage(lake, batch, feed, raw, at, small=counts["rows"] <= SMALL_ROWS, dedupe=dedupe)
@@ -67,7 +71,7 @@ def stream_to_target(
         else:
             changes = lake.read_paths([path], feed.change_schema)
         if has_changes(changes):
-            curate(lake, batch, feed, changes, at)
+            curate(lake, batch, feed, changes, at, small=counts["rows"] <= SMALL_ROWS)
         batch.note(f"staged/{feed.name}", batch_id)
         batch.note(f"curated/{feed.name}", batch_id)
         lake.commit(batch, at)
@@ -86,8 +90,10 @@ def stream_distinct(rows: DataFrame, feed: Feed, delay: str = "1 day") -> DataFr
     return typed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([feed.key]).drop("_event_time")
 
 
-def _batch_time(rows: DataFrame) -> dt.datetime:
-    return rows.select("_load_ts").first()[0]
+def _batch_time(rows: DataFrame) -> dt.datetime | None:
+    """The time all rows of the micro-batch carry; None if it has none."""
+    first = rows.select("_load_ts").first()
+    return first and first[0]
 
 
 def _start(rows: DataFrame, take, checkpoint: str, trigger: dict | None) -> StreamingQuery:
