@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.latest import latest_by_key, newest_first
+from millrace.operators.latest import latest_by_key, newest_first, total_order
 
 
 def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
@@ -57,15 +57,15 @@ def latest_inserts(changes: DataFrame, key: str, stamp: str = "updated_at") -> D
 
     Of a DELETE and an INSERT at the same time the INSERT is newer, as in an update pair.
     """
-    rest = [c for c in changes.columns if c not in (stamp, "_action", "_is_update")]
-    order = newest_first(stamp, "_action", *rest)
-    return latest_by_key(changes, [key], order).where("_action = 'INSERT'")
+    rows = changes.drop("_is_update")
+    return latest_by_key(rows, [key], total_order(rows, [key], (stamp, "_action"))).where("_action = 'INSERT'")
 
 
-def latest_deletes(changes: DataFrame, key: str, stamp: str = "updated_at") -> DataFrame:
-    """Keys whose newest change is a DELETE."""
-    order = newest_first(stamp, "_action")
-    return latest_by_key(changes.select(key, stamp, "_action"), [key], order).where("_action = 'DELETE'").select(key)
+def keys_ending_in(changes: DataFrame, key: str, action: str, stamp: str = "updated_at") -> DataFrame:
+    """Keys whose newest change is `action`. Only key, time and action are shuffled."""
+    rows = changes.select(key, stamp, "_action")
+    newest = latest_by_key(rows, [key], newest_first(stamp, "_action"))
+    return newest.where(F.col("_action") == action).select(key)
 
 
 def has_changes(changes: DataFrame) -> bool:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.changes import latest_deletes, latest_inserts
+from millrace.operators.changes import keys_ending_in, latest_inserts
 
 
 def end_versions(
@@ -28,9 +28,9 @@ def end_versions(
     A key whose newest change is a DELETE is left alone, or ended with
     `on_delete="close"`.
     """
-    ending = latest_inserts(changes, key).select(key)
+    ending = keys_ending_in(changes, key, "INSERT")
     if on_delete == "close":
-        ending = ending.unionByName(latest_deletes(changes, key))
+        ending = ending.unionByName(keys_ending_in(changes, key, "DELETE"))
     ending = ending.withColumn("_ends", F.lit(True))
     ended = F.col("_ends").isNotNull()
     return (

@@ -24,11 +24,11 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
-def total_order(df: DataFrame, lead: Sequence[str]) -> list[Column]:
-    """Newest by the lead columns, then by every other column.
+def total_order(df: DataFrame, keys: Sequence[str], lead: Sequence[str]) -> list[Column]:
+    """Newest by the lead columns, then by every other column but the keys.
 
     The extra columns are compared only between rows that tie on the lead, and rows
     that tie on all of them are equal, so the winner is always the same row.
     """
-    rest = [c for c in df.columns if c not in lead]
+    rest = [c for c in df.columns if c not in lead and c not in keys]
     return newest_first(*lead, *rest)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.latest import latest_by_key, newest_first
+from millrace.operators.latest import latest_by_key, total_order
 
 # A source of at most this many rows may be broadcast. By its declared widths a feed row
 # is under 1,000 characters, 4 kB at most, so this bounds the broadcast table at 200 MB.
@@ -109,7 +109,7 @@ def insert_absent(
     the target are read; with `small` they are not shuffled either.
     """
     if dedupe:
-        source = latest_by_key(source, keys, newest_first(*source.columns))
+        source = latest_by_key(source, keys, total_order(source, keys, ()))
     known = target.select(*keys)
     if small:
         wanted = F.broadcast(source.select(*keys).distinct())

@@ -42,7 +42,7 @@ def stage_rows(raw: DataFrame, feed: Feed, dedupe: bool | None = None) -> DataFr
     _, broken, _ = unusable(feed)
     rows = raw.where(~broken).select(*feed.columns, *PROVENANCE)
     if dedupe if dedupe is not None else not feed.insert_only:
-        rows = latest_by_key(rows, [feed.key], total_order(rows, PROVENANCE))
+        rows = latest_by_key(rows, [feed.key], total_order(rows, [feed.key], PROVENANCE))
     return cast_feed(rows, feed)
 
 

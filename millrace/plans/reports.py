@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.casts import month_of, percent
+from millrace.functions.casts import percent, to_date_or_null
 from millrace.operators.latest import latest_by_key, newest_first
 
 Tables = Mapping[str, DataFrame]
@@ -24,8 +24,9 @@ def paid_by_invoice(payments: DataFrame) -> DataFrame:
 
 
 def usage_by_month(cdr: DataFrame) -> DataFrame:
+    """Usage per customer and month, the month kept as its first day: a narrow key."""
     kind = F.col("call_type")
-    return cdr.groupBy("customer_id", month_of("usage_date").alias("billing_period")).agg(
+    return cdr.groupBy("customer_id", F.trunc("usage_date", "month").alias("_month")).agg(
         F.sum(F.when(kind == "DATA", F.col("data_volume_mb")).otherwise(0)).alias("total_data_mb"),
         F.sum(F.when(kind == "VOICE", F.col("duration_seconds")).otherwise(0)).alias("total_voice_seconds"),
         F.count_if(kind == "SMS").alias("total_sms"),
@@ -40,11 +41,15 @@ def billed(t: Tables) -> DataFrame:
 
 
 def customer_monthly_summary(t: Tables) -> DataFrame:
-    """One row per invoice; two invoices of a month both show the month's usage."""
+    """One row per invoice; two invoices of a month both show the month's usage.
+
+    A billing period that is no month has no usage.
+    """
     usage = usage_by_month(t["fact_cdr_usage"])
     return (
         billed(t)
-        .join(usage, ["customer_id", "billing_period"], "left")
+        .withColumn("_month", to_date_or_null("billing_period", "yyyy-MM"))
+        .join(usage, ["customer_id", "_month"], "left")
         .select(
             "customer_id",
             "billing_period",

@@ -110,13 +110,18 @@ class Lake:
         self, table: str, schema: str, after: str | None = None, only: Collection[str] | None = None
     ) -> DataFrame:
         """The table, or with `after` what later batches added. Empty if there is nothing."""
-        return self.read_paths(self.parts(table, after, only), schema)
+        paths = self.parts(table, after, only)
+        return self.read_paths(paths, schema, base=paths[0].split("/batch=")[0] if paths else None)
 
-    def read_paths(self, paths: Sequence[str], schema: str) -> DataFrame:
+    def read_paths(self, paths: Sequence[str], schema: str, base: str | None = None) -> DataFrame:
+        """Folders as one table; `base` is the folder above them if they are partitioned."""
         struct = StructType.fromDDL(schema)
         if not paths:
             return self.spark.createDataFrame([], struct)
-        return self.spark.read.schema(struct).parquet(*paths).select(*struct.names)
+        reader = self.spark.read.schema(struct)
+        if base:
+            reader = reader.option("basePath", base)
+        return reader.parquet(*paths).select(*struct.names)
 
     def begin(self, batch_id: str) -> Batch:
         if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch_id):
@@ -153,7 +158,7 @@ class Lake:
         if sort_within:
             df = df.sortWithinPartitions(*partition_by, *sort_within)
         seen = Observation()
-        path = f"{self.root}/{table}/{batch.batch_id}"
+        path = f"{self.root}/{table}/batch={batch.batch_id}"
         writer = df.observe(seen, F.count(F.lit(1)).alias("rows"), *counters).write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
