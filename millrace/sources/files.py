@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,15 +120,29 @@ def load_totals(report: DataFrame) -> DataFrame:
     )
 
 
+def _empty_if_missing(spark: SparkSession, read: Callable[[], DataFrame], schema: str) -> DataFrame:
+    """A folder no file has arrived in yet, or whose files are all gone, holds nothing."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv*") -> DataFrame:
     """File paths under a folder. Only names are listed; no content is read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-        .load(folder)
-        .select(F.col("_metadata.file_path").alias("source_file_name"))
-    )
+
+    def read() -> DataFrame:
+        return (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", pattern)
+            .option("recursiveFileLookup", "true")
+            .load(folder)
+            .select(F.col("_metadata.file_path").alias("source_file_name"))
+        )
+
+    return _empty_if_missing(spark, read, "source_file_name string")
 
 
 def unseen_files(listed: DataFrame, history: DataFrame) -> DataFrame:
@@ -137,11 +152,15 @@ def unseen_files(listed: DataFrame, history: DataFrame) -> DataFrame:
 
 def source_file_counts(spark: SparkSession, feed: Feed, paths: str | Sequence[str]) -> DataFrame:
     """Data lines per file, counted in the files themselves; all files in one scan."""
-    lines = (
-        spark.read.schema(feed.landing_schema)
-        .options(**CSV_OPTIONS)
-        .csv(paths if isinstance(paths, str) else list(paths))
-    )
-    return lines.groupBy(F.col("_metadata.file_path").alias("source_file_name")).agg(
-        F.count(F.lit(1)).alias("source_row_count")
-    )
+
+    def read() -> DataFrame:
+        lines = (
+            spark.read.schema(feed.landing_schema)
+            .options(**CSV_OPTIONS)
+            .csv(paths if isinstance(paths, str) else list(paths))
+        )
+        return lines.groupBy(F.col("_metadata.file_path").alias("source_file_name")).agg(
+            F.count(F.lit(1)).alias("source_row_count")
+        )
+
+    return _empty_if_missing(spark, read, "source_file_name string, source_row_count bigint")

@@ -136,15 +136,43 @@ def test_full_rescan_gives_the_same_rows(spark, tmp_path, rows):
         assert {k: r[:-1] for k, r in step.items()} == {k: r[:-1] for k, r in full.items()}
 
 
-def test_one_failing_feed_stops_no_other(spark, lake, tmp_path):
+def test_one_failing_feed_stops_no_other(spark, lake, tmp_path, monkeypatch):
     landing = tmp_path / "in"
-    send(landing, "plans", "a.csv", {})  # towers has no folder at all
+    send(landing, "plans", "a.csv", {}), send(landing, "towers", "a.csv", {})
+    read_feed = layers.files.read_feed
+
+    def broken(spark, feed, *rest):
+        if feed.name == "towers":
+            raise OSError("disk on fire")
+        return read_feed(spark, feed, *rest)
+
+    monkeypatch.setattr(layers.files, "read_feed", broken)
     got = outcome(layers.run_raw(lake, str(landing), pick("towers,plans"), D1))
     assert got == {"S3_TO_RAW_TOWERS": "FAILED", "S3_TO_RAW_PLANS": "SUCCESS"}
-    assert layers.errors(lake).first().severity == "CRITICAL"
+    error = layers.errors(lake).first()
+    assert error.severity == "CRITICAL" and "disk on fire" in error.error_message
     assert {r.status for r in layers.runs(lake).collect()} == {"FAILED", "SUCCESS"}
 
 
+def test_feeds_without_files(spark, lake, tmp_path, rows):
+    feeds = pick("towers,billing")
+    assert set(outcome(layers.run_raw(lake, str(tmp_path / "in"), feeds, D1)).values()) == {"SUCCESS"}
+    assert set(outcome(layers.run_validate(lake, str(tmp_path / "in"), feeds, D1)).values()) == {"SUCCESS"}
+    assert set(outcome(layers.run_staging(lake, feeds, D1)).values()) == {"SUCCESS"}
+    checked = layers.validation_summary(lake)
+    assert checked.count() == 8 and rows(checked.select("records_checked", "check_status").distinct()) == [(0, "PASS")]
+
+
+def test_files_that_are_gone_are_skipped(spark, lake, tmp_path, rows):
+    landing = tmp_path / "in"
+    send(landing, "towers", "a.csv", {})
+    layers.run_raw(lake, str(landing), pick("towers"), D1)
+    layers.run_validate(lake, str(tmp_path / "elsewhere"), pick("towers"), D1, count_summary=True)
+    assert rows(layers.count_log(lake), "source_row_count", "target_row_count", "check_status") == [(None, 1, "SKIPPED")]
+    recon = layers.validation_summary(lake).where("rule_type = 'ROW_COUNT_RECONCILIATION'").first()
+    assert (recon.records_checked, recon.check_status) == (0, "PASS")
+
+
 def test_an_uncommitted_batch_leaves_no_trace(spark, lake):
     batch = lake.begin("b1")
     lake.write(batch, "t", spark.range(3).selectExpr("id AS v"))
