@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.casts import seconds_between
 from millrace.operators.merge import insert_absent
+from millrace.session import few_rows
 
 ROW_COUNTERS = ("rows_read", "rows_inserted", "rows_updated", "rows_deleted", "rows_rejected")
 
@@ -51,7 +52,7 @@ JOBS = (
 
 
 def job_rows(spark: SparkSession, created_at: dt.datetime) -> DataFrame:
-    return spark.createDataFrame([(*job, True, created_at) for job in JOBS], JOB_SCHEMA)
+    return few_rows(spark, [(*job, True, created_at) for job in JOBS], JOB_SCHEMA)
 
 
 def register_jobs(registry: DataFrame, events: DataFrame, created_at: dt.datetime) -> DataFrame:
@@ -111,7 +112,7 @@ def error_row(
 
 def rows_as_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     names = [part.split()[0] for part in schema.split(", ")]
-    return spark.createDataFrame([tuple(row.get(n) for n in names) for row in rows], schema)
+    return few_rows(spark, [[row.get(n) for n in names] for row in rows], schema)
 
 
 def run_log(events: DataFrame) -> DataFrame:

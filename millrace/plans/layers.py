@@ -22,6 +22,7 @@ from millrace.operators.merge import SMALL_ROWS, insert_absent, op_counters, ups
 from millrace.operators.staging import cast_feed, merge_stage, stage_rows, unusable
 from millrace.operators.surrogate import assign_keys
 from millrace.plans import reports
+from millrace.session import few_rows
 from millrace.sources import files
 from millrace.sources.tables import Batch, Lake, Part
 
@@ -323,10 +324,9 @@ class Run:
         batch = self.lake.begin(f"{self.batch_id}-{step}")
         spark = self.lake.spark
         if events:
-            rows = runlog.rows_as_table(spark, events, runlog.EVENT_SCHEMA).coalesce(1)
-            self.lake.write(batch, EVENTS, rows)
+            self.lake.write(batch, EVENTS, runlog.rows_as_table(spark, events, runlog.EVENT_SCHEMA))
         if errors:
-            self.lake.write(batch, ERRORS, runlog.rows_as_table(spark, errors, runlog.ERROR_SCHEMA).coalesce(1))
+            self.lake.write(batch, ERRORS, runlog.rows_as_table(spark, errors, runlog.ERROR_SCHEMA))
         self.lake.commit(batch, self.at)
 
 
@@ -391,7 +391,7 @@ def run_validate(
         watched = raw.observe(seen, *quality.rule_counters(feed.rules))
         lake.write(batch, f"{VIOLATIONS}/{feed.name}", quality.rule_errors(watched, feed.rules, feed.key, ctx))
         counts = dict(seen.get)
-        counters = spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} bigint" for c in counts))
+        counters = few_rows(spark, [list(counts.values())], ", ".join(f"{c} bigint" for c in counts))
         summary = quality.summarise(counters, feed.rules, ctx)
         if landing is not None:
             recon = quality.reconcile(raw, files.source_file_counts(spark, feed, f"{landing}/{feed.name}"), ctx)
@@ -502,7 +502,7 @@ def run_layers(
         outcomes += run_staging(lake, chosen, batch_ts, threads=threads)
     if layer in ("curated", "all"):
         outcomes += run_curated(lake, batch_ts, threads)
-    return lake.spark.createDataFrame(outcomes, OUTCOME_SCHEMA)
+    return few_rows(lake.spark, outcomes, OUTCOME_SCHEMA)
 
 
 # -- logs ------------------------------------------------------------------------------

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Wall-clock columns are TIMESTAMP_NTZ; UTC keeps casts from and to TIMESTAMP neutral.
 # AQE sizes, coalesces and skew-splits shuffle partitions from run-time statistics.
@@ -43,3 +46,21 @@ def scratch_dir(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named
+
+
+def few_rows(spark: SparkSession, rows: Iterable[Sequence], schema: str) -> DataFrame:
+    """A handful of rows, log entries for instance, as a one-partition frame without Python tasks."""
+    struct = StructType.fromDDL(schema)
+    fields = struct.names
+    table = pa.Table.from_pylist([dict(zip(fields, row, strict=True)) for row in rows], schema=arrow_schema(struct))
+    return spark.createDataFrame(table, struct).coalesce(1)
+
+
+def arrow_schema(struct: StructType) -> pa.Schema:
+    kinds = {
+        "string": pa.string(),
+        "bigint": pa.int64(),
+        "boolean": pa.bool_(),
+        "timestamp_ntz": pa.timestamp("us"),
+    }
+    return pa.schema([(f.name, kinds[f.dataType.simpleString()]) for f in struct.fields])

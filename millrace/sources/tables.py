@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from millrace.session import few_rows
+
 COMMIT_SCHEMA = (
     "table_name string, batch_id string, seq bigint, replaces boolean, part string, path string, "
     "row_count bigint, committed_at timestamp_ntz"
@@ -181,7 +183,6 @@ class Lake:
         with self._lock:
             seq = self.commits().agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] + 1
             rows = [(p.table, batch.batch_id, seq, p.replaces, p.part, p.path, p.rows, at) for p in batch.parts]
-            log = self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
-            log.write.parquet(f"{self._log}/commit={batch.batch_id}")
+            few_rows(self.spark, rows, COMMIT_SCHEMA).write.parquet(f"{self._log}/commit={batch.batch_id}")
             self._rows = None
         batch.parts = []
