@@ -2,18 +2,35 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import simhash
+from millrace.llm import pieces, records, simhash
 from millrace.llm.common import table
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+TOKENS = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def op6_simhash_pigeonring(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of each document: 4-word shingles, at most 4 differing bits."""
     return simhash.near_duplicates(table(spark, folder, "documents"), words=4, distance=4)
 
 
+def op9_token_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Place, size and checksum of each document's token ids, read back from the record files."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return records.round_trip(table(spark, folder, "documents"), TOKENS, parts)
+
+
+def op10_sampled_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """A sampled segmentation of each document, with its checksum and whether it decodes to the text."""
+    return pieces.encoded(table(spark, folder, "documents"), PIECES, seed=42, power=1.0)
+
+
 QUERIES = {
     "op6_simhash_pigeonring": op6_simhash_pigeonring,
+    "op9_token_records": op9_token_records,
+    "op10_sampled_pieces": op10_sampled_pieces,
 }
 SQL: dict[str, str] = {}
