@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType
 
 from millrace.llm.common import label_sample, remainder, slices, string_parts
 
@@ -204,7 +205,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
 
     kept = [c for c in docs.columns if c not in ("score", "predicted", "__text")]
     base = docs.select(*kept, F.col("text").cast("string").alias("__text"))
-    schema = base.drop("__text").schema.add("score", "double").add("predicted", "int")
+    schema = base.drop("__text").schema.add("score", DoubleType()).add("predicted", IntegerType())
     return base.mapInArrow(run, schema)
 
 

@@ -83,7 +83,7 @@ class BundleWriter:
     def __init__(self, name: str, level: int = LEVEL):
         store, path = fs.FileSystem.from_uri(name)
         store.create_dir(path.rpartition("/")[0], recursive=True)
-        self.out = store.open_output_stream(path)
+        self.out = store.open_output_stream(path, compression=None)  # else packed again for its name
         self.packer = zstandard.ZstdCompressor(level=level, write_checksum=True)
         self.table: list[tuple[int, int]] = []
         self.open: list[bytes] = []
