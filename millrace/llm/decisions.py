@@ -75,7 +75,8 @@ def statistics(docs: DataFrame) -> DataFrame:
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
         n_repeat.alias("n_repeat_words"),
     )
-    return step.withColumn("_s", struct).drop("_t", "_w", "_l", "_h", "_p", "_r")
+    # A generator of one row: filters on the statistics stay above it, and do not work them out a second time.
+    return step.select(*docs.columns, F.explode(F.array(struct)).alias("_s"))
 
 
 def base_failed() -> Column:
@@ -147,7 +148,7 @@ def _grow(rows: DataFrame, cuts: dict[str, list[float]]) -> Rule:
         bins = [
             F.struct(
                 F.lit(f).alias("f"),
-                F.size(F.filter(F.array(*map(F.lit, cuts[f])), lambda t, f=f: F.col(f) > t)).alias("bin"),
+                reduce(lambda n, cut: n + (F.col(f) > F.lit(cut)).cast("int"), cuts[f], F.lit(0)).alias("bin"),
             )
             for f in FEATURES
             if cuts[f]
