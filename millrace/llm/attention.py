@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType
 
-from millrace.llm.common import label_sample, remainder, slices, string_parts
+from millrace.llm.common import aside, label_sample, remainder, slices, string_parts
 
 PASSAGE = 1024
 BLOCK = 1 << 20  # bytes whose features are held at once
@@ -218,6 +218,6 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents predicted to be good, with all their columns."""
-    held = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c != "text"}
-    kept = scored(docs.withColumnsRenamed(held), train(docs, labels)).where("predicted = 1")
-    return kept.withColumnsRenamed({v: k for k, v in held.items()}).select(*docs.columns)
+    held, back = aside(docs, "text")
+    kept = scored(held, train(docs, labels)).where("predicted = 1")
+    return kept.select(*held.columns).withColumnsRenamed(back)

@@ -33,6 +33,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def aside(docs: DataFrame, *kept: str) -> tuple[DataFrame, dict[str, str]]:
+    """`docs` with all columns but `kept` under names that clash with none of an operator's, and the way back."""
+    held = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c not in kept}
+    return docs.withColumnsRenamed(held), {v: k for k, v in held.items()}
+
+
 def remainder(id_column: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo `divisor`; null for a null id."""
     return F.pmod(F.crc32(F.col(id_column).cast("string").cast("binary")), F.lit(divisor))

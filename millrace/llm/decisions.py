@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import label_sample, written
+from millrace.llm.common import aside, label_sample, written
 
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -239,7 +239,6 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_passing(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that pass the base rules and the list, with all their columns."""
     rules = train(docs, labels)
-    held = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c != "text"}
-    safe = docs.withColumnsRenamed(held)
-    kept = statistics(safe).where(~base_failed() & verdict(rules)).drop("_s")
-    return kept.withColumnsRenamed({v: k for k, v in held.items()}).select(*docs.columns)
+    held, back = aside(docs, "text")
+    kept = statistics(held).where(~base_failed() & verdict(rules))
+    return kept.select(*held.columns).withColumnsRenamed(back)

@@ -95,12 +95,12 @@ def sql(table: str, key: str, spread: str, shards: Sequence[str], size: int, sha
         SELECT i, name, {number("'offset:' || name")} % {size} AS first, {number("'skip:' || name")} % {size - 1} + 1 AS skip
         FROM (VALUES {names}) v(i, name)
     ), orders AS (
-        SELECT list(list_transform(range({size}), j -> (first + j * skip) % {size} + 1) ORDER BY i) AS prefers FROM shards
+        SELECT list(list_transform(range({size}), lambda j: (first + j * skip) % {size} + 1) ORDER BY i) AS prefers FROM shards
     ), turns AS (
-        SELECT 0 AS turn, list_transform(range({size}), j -> -1) AS held
+        SELECT 0 AS turn, list_transform(range({size}), lambda j: -1) AS held
         UNION ALL
-        SELECT turn + 1, list_concat(list_concat(held[:at - 1], [turn % {len(shards)}]), held[at + 1:])
-        FROM (SELECT turn, held, list_filter(prefers[turn % {len(shards)} + 1], s -> held[s] = -1)[1] AS at
+        SELECT turn + 1, list_concat(list_concat(held[:spot - 1], [turn % {len(shards)}]), held[spot + 1:])
+        FROM (SELECT turn, held, list_filter(prefers[turn % {len(shards)} + 1], lambda s: held[s] = -1)[1] AS spot
               FROM turns, orders WHERE turn < {size})
     ), slots AS (
         SELECT unnest(range({size})) AS slot, unnest(held) AS i FROM turns WHERE turn = {size}

@@ -144,9 +144,9 @@ def top_k(rows: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
 def sql(every: int = 50, k: int = 5) -> str:
     return f"""
     WITH v AS (
-        SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
         WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-          AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     ), s AS (
         SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
         FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % {every} = 0

@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD, written
+from millrace.llm.common import WORD, aside, written
 
 LEVELS = ["domain", "lang", "source"]
 BUCKET_BITS = 12
@@ -169,10 +169,11 @@ def mixed(docs: DataFrame, mixture: Mixture) -> DataFrame:
 
 def take(docs: DataFrame, mixture: Mixture) -> DataFrame:
     """The documents as often as the mixture takes them, with all their columns."""
-    chosen = _with_leaf(docs, plan(docs, mixture), mixture).where("_copies > 0")
+    held, back = aside(docs, "doc_id", "text", "lang", "source")
+    chosen = _with_leaf(held, plan(docs, mixture), mixture).where("_copies > 0")
     if mixture.epochs > 1:
         chosen = chosen.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return chosen.select(*[docs[c] for c in docs.columns])
+    return chosen.select(*held.columns).withColumnsRenamed(back)
 
 
 def sql(mixture: Mixture) -> str:
@@ -212,9 +213,9 @@ def sql(mixture: Mixture) -> str:
     parts += [
         f"bought AS (SELECT domain, lang, source, tokens AS leaf_tokens, wanted AS budget, CASE WHEN tokens > 0 THEN wanted // tokens ELSE 0 END AS epochs FROM b{len(LEVELS)})",
         f"""placed AS (SELECT *, budget - epochs * leaf_tokens AS rest,
-            ('0x' || substr(md5('{mixture.seed}:' || epochs || coalesce(':' || doc_id, '')), 1, 15))::BIGINT AS at
+            ('0x' || substr(md5('{mixture.seed}:' || epochs || coalesce(':' || doc_id, '')), 1, 15))::BIGINT AS spot
             FROM docs JOIN bought USING (domain, lang, source))""",
-        """started AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY at
+        """started AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY spot
             RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM placed)""",
     ]
     return (

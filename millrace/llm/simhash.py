@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import slices, string_parts, written
+from millrace.llm.common import aside, slices, string_parts, written
 
 P1, P2, P3 = np.uint64(11400714785074694791), np.uint64(14029467366897019727), np.uint64(1609587929392839161)
 P4, P5 = np.uint64(9650029242287828579), np.uint64(2870177450012600261)
@@ -404,6 +404,7 @@ def keep_first(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
     )
     stays = stays.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
     id_, key = F.col("doc_id").cast("long"), _text_key()
-    marked = docs.withColumns({"_row_id": id_, "_row_key": key})
+    held, back = aside(docs, "doc_id", "text")
+    marked = held.withColumns({"_row_id": id_, "_row_key": key})
     found = marked.join(stays, F.col("_row_id").eqNullSafe(F.col("_id")) & (F.col("_row_key") == F.col("_key")))
-    return found.dropDuplicates(["_row_id", "_row_key"]).select(*docs.columns)
+    return found.dropDuplicates(["_row_id", "_row_key"]).select(*held.columns).withColumnsRenamed(back)

@@ -275,7 +275,7 @@ t AS (SELECT *, first(page_id) OVER w AS top_id, first(url) OVER w AS top_url, c
       FROM p WINDOW w AS (PARTITION BY h ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST)),
 r AS (SELECT *, n > 1 AND (page_id IS DISTINCT FROM top_id OR url IS DISTINCT FROM top_url) AS revisit FROM t)
 SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
-       array_to_string(list_transform(range(32), i ->
+       array_to_string(list_transform(range(32), lambda i:
            substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                   (('0x' || substr(h, (5 * (i // 4) + 1)::BIGINT, 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT & 31) + 1, 1)), '') AS payload_digest,
        CASE WHEN revisit THEN 'revisit' ELSE 'response' END AS record_type,
