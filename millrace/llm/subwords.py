@@ -26,6 +26,7 @@ DIM = 6
 TRAIN_ROWS = 1500  # labelled documents of each class at most
 TRAIN_BYTES = 8_000  # longer documents are scored but not trained on
 LEAST_DOCS = 4  # training documents that a subword must occur in to have a vector
+LEAST_CHI = 10.8  # chi-square below which a subword says nothing of the label; one in a thousand passes by chance
 SEED = 23
 EDGES = " .,;:!?\"'()[]{}#*$%&|<>=/-"  # cut off at both ends of a word
 
@@ -88,6 +89,19 @@ class Model:
         return np.where(self.known, self.table @ (self.out[:, 1] - self.out[:, 0]), 0.0)
 
 
+def telling(doc: np.ndarray, bucket: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The subwords that get a vector: found in LEAST_DOCS documents, and unevenly so over the classes.
+
+    Others would only water down the mean. Unevenness is the chi-square of occurring against the label.
+    """
+    n, toxic = len(y), y.sum()
+    seen = np.bincount(bucket, minlength=BUCKETS).astype(np.float64)
+    inside = np.bincount(bucket, weights=y[doc], minlength=BUCKETS)
+    odd = inside * (n - toxic - seen + inside) - (toxic - inside) * (seen - inside)
+    chi = n * odd**2 / np.maximum(1e-9, toxic * (n - toxic) * seen * (n - seen))
+    return (seen >= LEAST_DOCS) & (chi >= LEAST_CHI)
+
+
 def fit(doc: np.ndarray, bucket: np.ndarray, count: np.ndarray, y: np.ndarray, rounds: int = 120, rate: float = 1.0, seed: int = SEED) -> Model:
     """Trains on documents given as (document, bucket, count); both classes weigh the same.
 
@@ -98,8 +112,7 @@ def fit(doc: np.ndarray, bucket: np.ndarray, count: np.ndarray, y: np.ndarray, r
     if n == 0 or y.min() == y.max():
         model.bias = np.array([0.0, 0.0 if not n else (4.0 if y[0] else -4.0)])
         return model
-    seen = np.bincount(bucket, minlength=BUCKETS)
-    model.known = seen >= LEAST_DOCS
+    model.known = telling(doc, bucket, y)
     own = model.known[bucket]
     names = np.flatnonzero(model.known)
     place = np.zeros(BUCKETS, np.int64)
