@@ -206,7 +206,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            score = np.round(score_texts(part.column("text"), margins, known, bias), 6)
+            score = np.round(score_texts(part.column("text"), margins, known, bias), 12)
             columns = [part.column("doc_id"), part.column("held_out"), pa.array(score), pa.array((score >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "score", "predicted"])
 
