@@ -24,9 +24,9 @@ def main(argv: list[str] | None = None) -> int:
     at = dt.datetime.fromisoformat(args.at) if args.at else dt.datetime.now().replace(microsecond=0)
     lake = Lake(build_session(), args.root)
     outcomes = run_layers(lake, args.layer, at, args.landing, args.feeds, args.threads)
-    outcomes.show(100, truncate=80)
+    outcomes.show(outcomes.count(), truncate=80)
     for report in day_report(lake, at.date()):
-        report.show(100, truncate=60)
+        report.show(report.count(), truncate=60)
     return 1 if outcomes.where("status = 'FAILED'").count() else 0
 
 

@@ -190,8 +190,9 @@ def diff_sql(feed: Feed) -> str:
     )
 
 
-ORACLES["cdc_customers"] = diff_sql(_cust)
-ORACLES["cdc_support_tickets"] = diff_sql(FEEDS["support_tickets"])
+for _f in FEEDS.values():
+    if not _f.insert_only:
+        ORACLES[f"cdc_{_f.name}"] = diff_sql(_f)
 
 VALIDITY = f"{shown('eff_start_ts', 'timestamp')}, {shown('eff_end_ts', 'timestamp')}, is_current"
 ORACLES["dim_customer_scd2"] = with_feeds(("customers",), f"SELECT {shown_fields(_cust)}, {VALIDITY} FROM t_customers")
@@ -200,7 +201,7 @@ USAGE_TAIL = f"{shown('usage_date', 'date')}, {shown('loaded_at', 'timestamp')}"
 ORACLES["fact_cdr_usage"] = with_feeds(("cdr",), f"SELECT {shown_fields(_cdr)}, {USAGE_TAIL} FROM t_cdr")
 ORACLES["surrogate_keys"] = with_feeds(
     ("billing",),
-    "SELECT 1000 + row_number() OVER (ORDER BY invoice_id) AS invoice_sk, invoice_id, CAST(total_amount AS DOUBLE) AS total_amount FROM s1_billing",
+    "SELECT 1000 + row_number() OVER (ORDER BY invoice_id) AS invoice_sk, invoice_id, CAST(total_amount AS DOUBLE) AS total_amount FROM m_billing",
 )
 
 # -- reports ---------------------------------------------------------------------------
@@ -362,7 +363,10 @@ for _f in FEEDS.values():
     ORACLES[f"dq_errors_{_f.name}"] = with_feeds((_f.name,), errors_sql(_f))
 
 ORACLES["dq_errors_since"] = with_feeds(("billing",), summary_sql(FEEDS["billing"], "load = 2"))
-ORACLES["dq_open_errors"] = with_feeds(("cdr",), f"SELECT * FROM ({errors_sql(_cdr, job=False)}) WHERE column_name <> 'region'")
+ORACLES["dq_open_errors"] = with_feeds(
+    tuple(FEEDS),
+    " UNION ALL ".join(f"SELECT * FROM ({errors_sql(f, job=False)}) WHERE column_name <> 'region'" for f in FEEDS.values()),
+)
 
 
 def load_check(feed: Feed, name: str, broken: str) -> str:
@@ -404,15 +408,14 @@ ORACLES["dq_reconcile_summary"] = with_feeds(
     "CASE WHEN count(*) FILTER (check_status = 'MISMATCH') = 0 THEN 'PASS' ELSE 'FAIL' END AS check_status, "
     f"'{CHECKED}' AS checked_at FROM ({reconcile_sql()}) WHERE feed_name = 'customers'",
 )
-_TODAY = ("customers", "billing", "payments")
 ORACLES["dq_summary_today"] = with_feeds(
-    _TODAY,
+    tuple(FEEDS),
     "SELECT feed_name, table_name, rule_type, column_name, CAST(sum(records_checked) AS BIGINT) AS records_checked, "
     "CAST(sum(records_failed) AS BIGINT) AS records_failed, "
     "round(100.0 * sum(records_failed)::DOUBLE / nullif(sum(records_checked), 0), 3) AS pct_failed, max(checked_at) AS last_checked_at FROM ("
     + " UNION ALL ".join(
         summary_sql(FEEDS[n], where, run_id, at)
-        for n in _TODAY
+        for n in FEEDS
         for run_id, at, where in (
             (1, "2024-03-01 08:00:00", "load = 1"),
             (2, CHECKED, "load = 1"),
@@ -493,12 +496,10 @@ ORACLES["stream_cdr_fact"] = with_feeds(
     f"SELECT {shown_fields(_cdr)}, strftime(call_start_ts, '%Y-%m-%d') AS usage_date FROM "
     f"(SELECT * FROM s2_cdr QUALIFY row_number() OVER (PARTITION BY cdr_id ORDER BY {_cdr_newest}) = 1)",
 )
-# One load holds every line, so the newest per key is the largest by columns; the file
-# names play no part because all lines of a key are in one file.
-_cust_newest = ", ".join(f"{c} DESC NULLS LAST" for c in _cust.columns)
+# Each load opens at most one version of a customer, numbered in the order of loads and ids.
 ORACLES["layers_dim_customer"] = with_feeds(
     ("customers",),
-    f"SELECT row_number() OVER (ORDER BY customer_id) AS customer_sk, customer_id, true AS is_current, "
-    f"'{FIRST_LOAD}' AS eff_start_ts, CAST(NULL AS VARCHAR) AS eff_end_ts FROM "
-    "(SELECT DISTINCT customer_id FROM raw_customers WHERE customer_id IS NOT NULL)",
+    f"SELECT row_number() OVER (ORDER BY eff_start_ts, customer_id) AS customer_sk, {shown_fields(_cust)}, {VALIDITY} FROM t_customers",
 )
+ORACLES["stream_customers_dim"] = with_feeds(("customers",), f"SELECT {shown_fields(_cust)}, is_current FROM t_customers")
+ORACLES["stream_raw_towers"] = with_feeds(("towers",), f"SELECT {', '.join(FEEDS['towers'].columns)} FROM raw_towers")

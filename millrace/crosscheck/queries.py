@@ -20,14 +20,14 @@ from millrace.operators.changes import appended_rows, snapshot_diff
 from millrace.operators.curate import append_fact, merge_target
 from millrace.operators.governance import ROLE_REGIONS, secure, sensitive_inventory
 from millrace.operators.history import scd2_apply
-from millrace.operators.merge import changes_of, insert_absent, merge_counts, state
+from millrace.operators.merge import SMALL_ROWS, changes_of, insert_absent, merge_counts, state
 from millrace.operators.staging import merge_stage, stage_rows, unusable
 from millrace.operators.surrogate import assign_keys
 from millrace.plans import layers, reports
 from millrace.session import scratch_dir
 from millrace.sources import files
 from millrace.sources.tables import Lake
-from millrace.streaming.jobs import stream_to_target
+from millrace.streaming.jobs import stream_raw, stream_to_target
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -153,8 +153,15 @@ def _stage(name: str, spark: SparkSession, folder: str) -> DataFrame:
     return plain(stage_rows(inputs.raw_rows(spark, folder, feed), feed))
 
 
-def _merge(name: str, spark: SparkSession, folder: str, small: bool = False) -> DataFrame:
-    return plain(second_merge(spark, folder, FEEDS[name], small))
+def _merge(name: str, spark: SparkSession, folder: str) -> DataFrame:
+    return plain(second_merge(spark, folder, FEEDS[name]))
+
+
+def _measured_merge(name: str, spark: SparkSession, folder: str) -> DataFrame:
+    """The same, with the source counted first: it is broadcast if it is small, else it is not."""
+    feed = FEEDS[name]
+    small = inputs.raw_rows(spark, folder, feed).count() <= SMALL_ROWS
+    return plain(second_merge(spark, folder, feed, small))
 
 
 def _target(name: str, spark: SparkSession, folder: str) -> DataFrame:
@@ -169,8 +176,8 @@ for _name in FEEDS:
         QUERIES[FEEDS[_name].target.table] = partial(_target, _name)
 
 QUERIES["stg_cdr_insert_absent"] = partial(_merge, "cdr")
-QUERIES["stg_cdr_insert_absent_small"] = partial(_merge, "cdr", small=True)
-QUERIES["stg_customers_merge_small"] = partial(_merge, "customers", small=True)
+QUERIES["stg_cdr_insert_absent_small"] = partial(_measured_merge, "cdr")
+QUERIES["stg_customers_merge_small"] = partial(_measured_merge, "customers")
 
 
 @query("stg_cdr_insert_absent_deduped")
@@ -199,8 +206,9 @@ def _diff(name: str, spark: SparkSession, folder: str) -> DataFrame:
     return plain(snapshot_diff(first_state(spark, folder, feed), after, [feed.key]))
 
 
-QUERIES["cdc_customers"] = partial(_diff, "customers")
-QUERIES["cdc_support_tickets"] = partial(_diff, "support_tickets")
+for _name in FEEDS:
+    if not FEEDS[_name].insert_only:
+        QUERIES[f"cdc_{_name}"] = partial(_diff, _name)
 
 
 @query("cdc_cdr_appended")
@@ -224,7 +232,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("surrogate_keys")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """Invoice keys numbered in key order, after a highest key of 1000."""
-    rows = first_state(spark, folder, FEEDS["billing"]).select("invoice_id", "total_amount")
+    rows = merged_state(spark, folder, FEEDS["billing"]).select("invoice_id", "total_amount")
     return plain(assign_keys(rows, "invoice_sk", 1000, "invoice_id"))
 
 
@@ -358,8 +366,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """A check the day before and two on the day; the two add up."""
     out = None
-    for name in ("customers", "billing", "payments"):
-        feed = FEEDS[name]
+    for feed in FEEDS.values():
         for run_id, at, loads in ((1, CHECKED_AT - dt.timedelta(days=1), 1), (2, CHECKED_AT, 1), (3, CHECKED_AT.replace(hour=9), 2)):
             rows = quality.rule_summary(inputs.raw_rows(spark, folder, feed, loads), feed.rules, context(feed, run_id, at))
             out = rows if out is None else out.unionByName(rows)
@@ -368,9 +375,11 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("dq_open_errors")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """Errors of cdr with those of region taken as resolved."""
-    feed = FEEDS["cdr"]
-    errors = quality.rule_errors(inputs.raw_rows(spark, folder, feed), feed.rules, feed.key, context(feed))
+    """Errors of all feeds with those of region taken as resolved."""
+    errors = None
+    for feed in FEEDS.values():
+        found = quality.rule_errors(inputs.raw_rows(spark, folder, feed), feed.rules, feed.key, context(feed))
+        errors = found if errors is None else errors.unionByName(found)
     errors = errors.withColumn("is_resolved", F.col("column_name") == "region")
     return plain(reports.open_validation_errors(errors))
 
@@ -468,11 +477,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def sent_files(spark: SparkSession, folder: str, feed: Feed, parts: int = 4) -> str:
-    """The feed's lines written out as delimited files, `parts` of them."""
-    target = f"{scratch(spark, 'landing')}/{feed.name}"
-    lines = inputs.feed_lines(spark, folder, feed).select(*feed.columns)
-    lines.repartition(parts, feed.key).write.option("header", "true").option("escape", '"').csv(target)
+def sent_files(
+    spark: SparkSession, folder: str, feed: Feed, load: dt.datetime | None = None, target: str | None = None
+) -> str:
+    """The lines of a feed, or of one load of it, as delimited files, one by each task that reads them."""
+    target = target or f"{scratch(spark, 'landing')}/{feed.name}"
+    lines = inputs.feed_lines(spark, folder, feed)
+    if load is not None:
+        lines = lines.where(F.col("_load_ts") == F.lit(load).cast("timestamp_ntz"))
+    lines.select(*feed.columns).write.mode("append").option("header", "true").option("escape", '"').csv(target)
     return target
 
 
@@ -516,14 +529,36 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return plain(layers.read_target(lake, feed), "loaded_at")
 
 
+@query("stream_customers_dim")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads streamed one after the other to the dimension: current and closed versions."""
+    feed = FEEDS["customers"]
+    lake, checkpoint = Lake(spark, scratch(spark, "lake")), scratch(spark, "stream")
+    landing = None
+    for load in (FIRST_LOAD, SECOND_LOAD):
+        landing = sent_files(spark, folder, feed, load, landing)
+        stream_to_target(lake, feed, landing, checkpoint).awaitTermination()
+    return plain(layers.read_target(lake, feed), "customer_sk", "eff_start_ts", "eff_end_ts")
+
+
+@query("stream_raw_towers")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Towers streamed to RAW beside another feed that streams into the same tables' folder."""
+    lake = Lake(spark, scratch(spark, "lake"))
+    for feed in (FEEDS["plans"], FEEDS["towers"]):
+        stream_raw(lake, feed, sent_files(spark, folder, feed), scratch(spark, "stream")).awaitTermination()
+    return plain(layers.read_raw(lake, FEEDS["towers"]).select(*FEEDS["towers"].columns))
+
+
 @query("layers_dim_customer")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """All layers run on files, from landing to the dimension with its surrogate keys."""
+    """All layers run on the files of two loads, from landing to the dimension with its surrogate keys."""
     feed = FEEDS["customers"]
-    landing = sent_files(spark, folder, feed).rsplit("/", 1)[0]
     lake = Lake(spark, scratch(spark, "lake"))
-    layers.run_raw(lake, landing, [feed], FIRST_LOAD)
-    layers.run_staging(lake, [feed], FIRST_LOAD)
-    layers.run_curated(lake, FIRST_LOAD, feeds=[feed.name])
-    rows = layers.read_target(lake, feed)
-    return plain(rows.select("customer_sk", "customer_id", "is_current", "eff_start_ts", "eff_end_ts"))
+    target = None
+    for load in (FIRST_LOAD, SECOND_LOAD):
+        target = sent_files(spark, folder, feed, load, target)
+        layers.run_raw(lake, target.rsplit("/", 1)[0], [feed], load)
+        layers.run_staging(lake, [feed], load)
+        layers.run_curated(lake, load, feeds=[feed.name])
+    return plain(layers.read_target(lake, feed))

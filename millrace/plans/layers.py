@@ -75,9 +75,9 @@ def target_table(feed: Feed) -> str:
     return f"curated/{feed.target.table}"
 
 
-def read_raw(lake: Lake, feed: Feed, after: str | None = None) -> DataFrame:
+def read_raw(lake: Lake, feed: Feed, after: str | None = None, until: str | None = None) -> DataFrame:
     """Landed rows without the refused ones."""
-    rows = lake.read(raw_table(feed), f"{feed.raw_schema}, _reject string", after)
+    rows = lake.read(raw_table(feed), f"{feed.raw_schema}, _reject string", after, until=until)
     return rows.where(F.col("_reject").isNull()).drop("_reject")
 
 
@@ -184,11 +184,11 @@ def read_touched(lake: Lake, table: str, schema: str, feed: Feed, rows: DataFram
     return lake.read(table, schema, only={row[0] for row in months.collect()})
 
 
-def read_changes(lake: Lake, feed: Feed, after: str | None = None) -> DataFrame:
-    """What staging batches later than `after` changed."""
+def read_changes(lake: Lake, feed: Feed, after: str | None = None, until: str | None = None) -> DataFrame:
+    """What staging batches later than `after`, up to `until`, changed."""
     if feed.insert_only:
-        return as_inserts(lake.read(stage_table(feed), feed.stage_schema, after))
-    return lake.read(change_table(feed), feed.change_schema, after)
+        return as_inserts(lake.read(stage_table(feed), feed.stage_schema, after, until=until))
+    return lake.read(change_table(feed), feed.change_schema, after, until=until)
 
 
 def as_inserts(rows: DataFrame) -> DataFrame:
@@ -275,6 +275,10 @@ def _curate_history(
 # -- whole layers ----------------------------------------------------------------------
 
 
+# Runs of a layer at one batch time; a run's ids leave room for ten jobs in each.
+ATTEMPTS = 10
+
+
 class Run:
     """Run log of one layer: start rows go out before the work, end rows after it."""
 
@@ -283,6 +287,12 @@ class Run:
         self.lake, self.layer, self.at, self.triggered_by = lake, layer, batch_ts, triggered_by
         self.batch_id = f"{batch_ts:%Y%m%dT%H%M%S}-{layer}"
         self.base = int(f"{batch_ts:%y%m%d%H%M%S}") * 1000 + {"raw": 0, "validate": 100, "staging": 200, "curated": 300}[layer]
+        attempt = sum(b.startswith(self.batch_id) and b.endswith("-started") for b in lake.batches(EVENTS))
+        if attempt >= ATTEMPTS:
+            raise ValueError(f"{layer} was run {attempt} times at {batch_ts}; take another batch time")
+        if attempt:
+            self.batch_id += f"-again{attempt}"
+            self.base += attempt * (100 // ATTEMPTS)
         self.ids: dict[str, int] = {}
         self.events: list[dict] = []
         self.errors: list[dict] = []
@@ -315,10 +325,10 @@ class Run:
         except Exception as error:  # one feed must not stop the others
             at = self.at + (dt.datetime.now() - started)
             message = f"{type(error).__name__}: {error}"
-            context = {"layer": self.layer, "trace": traceback.format_exc()[-2000:]}
+            context = {"layer": self.layer, "trace": traceback.format_exc()}
             self.events.append(runlog.fail_event(run_id, job, at, message))
             self.errors.append(runlog.error_row(run_id * 1000, run_id, job, at, "SPARK_ERROR", message, context))
-            self.outcomes.append((self.layer, job, "FAILED", 0, 0, 0, 0, message[:1000]))
+            self.outcomes.append((self.layer, job, "FAILED", 0, 0, 0, 0, message))
 
     def _append(self, step: str, events: list[dict], errors: list[dict]) -> None:
         batch = self.lake.begin(f"{self.batch_id}-{step}")
@@ -432,7 +442,7 @@ def run_staging(
         arrived = lake.batches(raw_table(feed))
         if not arrived or arrived[-1] == done:
             return {"comments": "no new rows"}
-        raw = read_raw(lake, feed, done)
+        raw = read_raw(lake, feed, done, arrived[-1])
         name, broken, text = unusable(feed)
         ctx = quality.CheckContext(run_id, feed.stage_job, feed.name, feed.raw_table, batch_ts)
         batch = lake.begin(_feed_batch(run.batch_id, feed))
@@ -463,12 +473,16 @@ def run_curated(
     def carry(feed: Feed, run_id: int) -> dict:
         source = stage_table(feed) if feed.insert_only else change_table(feed)
         done = lake.noted(f"curated/{feed.name}")
-        waiting = lake.count(source, done)
+        staged = lake.batches(source)
+        # What staging commits from here on is left to the next run.
+        newest = staged[-1] if staged else None
+        waiting = lake.count(source, done, newest)
         if not waiting:
             return {"comments": "no changes to merge"}
         batch = lake.begin(_feed_batch(run.batch_id, feed))
-        counts = curate(lake, batch, feed, read_changes(lake, feed, done), batch_ts, waiting <= SMALL_ROWS)
-        batch.note(f"curated/{feed.name}", lake.batches(source)[-1])
+        changes = read_changes(lake, feed, done, newest)
+        counts = curate(lake, batch, feed, changes, batch_ts, waiting <= SMALL_ROWS)
+        batch.note(f"curated/{feed.name}", newest)
         lake.commit(batch, batch_ts)
         return {
             "rows_read": counts["rows_inserted"] + counts["rows_updated"],

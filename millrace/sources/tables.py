@@ -85,10 +85,13 @@ class Lake:
     def batches(self, table: str) -> list[str]:
         return list(dict.fromkeys(row.batch_id for row in self._entries(table)))
 
-    def _live(self, table: str, after: str | None = None) -> dict[str | None, list]:
-        """Log rows that make up the table now by partition, or those added since batch `after`."""
+    def _live(self, table: str, after: str | None = None, until: str | None = None) -> dict[str | None, list]:
+        """Log rows that make up the table by partition, or those added since batch `after`; none later than `until`."""
         live: dict[str | None, list] = {}
-        for row in self._entries(table):
+        entries = self._entries(table)
+        if until is not None:
+            entries = entries[: max(i for i, row in enumerate(entries) if row.batch_id == until) + 1]
+        for row in entries:
             if row.replaces and row.part is None:
                 live = {}
             elif row.replaces:
@@ -99,20 +102,27 @@ class Lake:
                 live = {}
         return live
 
-    def parts(self, table: str, after: str | None = None, only: Collection[str] | None = None) -> list[str]:
+    def parts(
+        self, table: str, after: str | None = None, only: Collection[str] | None = None, until: str | None = None
+    ) -> list[str]:
         """Folders of the table; `only` limits them to some partitions."""
-        live = self._live(table, after)
+        live = self._live(table, after, until)
         return [row.path for part, rows in live.items() if only is None or part in only for row in rows]
 
-    def count(self, table: str, after: str | None = None) -> int:
+    def count(self, table: str, after: str | None = None, until: str | None = None) -> int:
         """Rows according to the log; no data is read."""
-        return sum(row.row_count for rows in self._live(table, after).values() for row in rows)
+        return sum(row.row_count for rows in self._live(table, after, until).values() for row in rows)
 
     def read(
-        self, table: str, schema: str, after: str | None = None, only: Collection[str] | None = None
+        self,
+        table: str,
+        schema: str,
+        after: str | None = None,
+        only: Collection[str] | None = None,
+        until: str | None = None,
     ) -> DataFrame:
-        """The table, or with `after` what later batches added. Empty if there is nothing."""
-        paths = self.parts(table, after, only)
+        """The table, or what batches later than `after`, up to `until`, added. Empty if there is nothing."""
+        paths = self.parts(table, after, only, until)
         return self.read_paths(paths, schema, base=paths[0].split("/batch=")[0] if paths else None)
 
     def read_paths(self, paths: Sequence[str], schema: str, base: str | None = None) -> DataFrame:
@@ -176,13 +186,19 @@ class Lake:
     def commit(self, batch: Batch, at: dt.datetime) -> None:
         """Publish all parts of the batch as one file in a log folder of its own.
 
-        Writers of different tables may therefore commit at the same time.
+        Writers of different tables may therefore commit at the same time. A folder that a
+        commit left without rows when it died is written over; one with rows is refused.
         """
         if not batch.parts:
             return
         with self._lock:
-            seq = self.commits().agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] + 1
+            known = F.max(F.col("batch_id") == batch.batch_id).alias("known")
+            last = self.commits().agg(F.coalesce(F.max("seq"), F.lit(0)).alias("seq"), known).first()
+            if last.known:
+                raise ValueError(f"batch {batch.batch_id} is already committed")
+            seq = last.seq + 1
             rows = [(p.table, batch.batch_id, seq, p.replaces, p.part, p.path, p.rows, at) for p in batch.parts]
-            few_rows(self.spark, rows, COMMIT_SCHEMA).write.parquet(f"{self._log}/commit={batch.batch_id}")
+            folder = f"{self._log}/commit={batch.batch_id}"
+            few_rows(self.spark, rows, COMMIT_SCHEMA).write.mode("overwrite").parquet(folder)
             self._rows = None
         batch.parts = []

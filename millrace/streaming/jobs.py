@@ -1,12 +1,15 @@
 """Structured Streaming forms of the layer jobs.
 
-A micro-batch is one batch of the lake: its id comes from the stream, so a batch that
-Spark replays after a failure finds itself committed and is skipped.
+A micro-batch is one batch of the lake. Its id is made of the feed, the stream's id, which
+Spark keeps in the checkpoint, and the batch's number: one that Spark replays after a failure
+finds itself committed and is skipped, while another feed or a new checkpoint begins anew.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,8 +38,7 @@ def stream_feed_files(spark: SparkSession, feed: Feed, folder: str, files_per_ba
 def stream_raw(lake: Lake, feed: Feed, folder: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Each file lands in RAW exactly once."""
 
-    def take(rows: DataFrame, number: int) -> None:
-        batch_id = f"stream-{number:09d}"
+    def take(rows: DataFrame, batch_id: str) -> None:
         lake.refresh()
         at = None if batch_id in lake.batches(raw_table(feed)) else _batch_time(rows)
         if at is not None:
@@ -44,7 +46,7 @@ def stream_raw(lake: Lake, feed: Feed, folder: str, checkpoint: str, trigger: di
             land(lake, batch, feed, rows, at)
             lake.commit(batch, at)
 
-    return _start(stream_feed_files(lake.spark, feed, folder), take, checkpoint, trigger)
+    return _start(lake, feed, folder, take, checkpoint, trigger)
 
 
 def stream_to_target(
@@ -56,8 +58,7 @@ def stream_to_target(
     The insert-only feed keeps one row per key; a key that comes late is just a new key.
     """
 
-    def take(rows: DataFrame, number: int) -> None:
-        batch_id = f"stream-{number:09d}"
+    def take(rows: DataFrame, batch_id: str) -> None:
         lake.refresh()
         at = None if batch_id in lake.batches(raw_table(feed)) else _batch_time(rows)
         if at is None:
@@ -76,7 +77,7 @@ def stream_to_target(
         batch.note(f"curated/{feed.name}", batch_id)
         lake.commit(batch, at)
 
-    return _start(stream_feed_files(lake.spark, feed, folder), take, checkpoint, trigger)
+    return _start(lake, feed, folder, take, checkpoint, trigger)
 
 
 def stream_distinct(rows: DataFrame, feed: Feed, delay: str = "1 day") -> DataFrame:
@@ -96,9 +97,19 @@ def _batch_time(rows: DataFrame) -> dt.datetime | None:
     return first and first[0]
 
 
-def _start(rows: DataFrame, take, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+def _start(
+    lake: Lake, feed: Feed, folder: str, take: Callable[[DataFrame, str], None], checkpoint: str, trigger: dict | None
+) -> StreamingQuery:
+    name = f"{feed.name}-{uuid.uuid4().hex}"
+
+    def numbered(rows: DataFrame, number: int) -> None:
+        stream = next(q.id for q in lake.spark.streams.active if q.name == name)
+        take(rows, f"stream-{feed.name}-{stream}-{number:09d}")
+
     return (
-        rows.writeStream.foreachBatch(take)
+        stream_feed_files(lake.spark, feed, folder)
+        .writeStream.queryName(name)
+        .foreachBatch(numbered)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -228,3 +228,65 @@ def test_bounded_state_dedupe(spark, tmp_path, rows):
     query = distinct.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert rows(spark.read.parquet(out), "cdr_id") == [("R1",), ("R2",)]
+
+
+def test_two_feeds_stream_into_one_lake(spark, lake, tmp_path):
+    landing = tmp_path / "in"
+    for name in ("towers", "plans"):
+        send(landing, name, "a.csv", {})
+        stream_raw(lake, FEEDS[name], str(landing / name), str(tmp_path / f"ck-{name}")).awaitTermination()
+    assert [layers.read_raw(lake, FEEDS[name]).count() for name in ("towers", "plans")] == [1, 1]
+
+
+def test_a_new_checkpoint_drops_no_files(spark, lake, tmp_path):
+    feed, landing = FEEDS["towers"], tmp_path / "in"
+    send(landing, "towers", "a.csv", {})
+    stream_raw(lake, feed, str(landing / "towers"), str(tmp_path / "ck1")).awaitTermination()
+    send(landing, "towers", "b.csv", {"tower_id": "T2"})
+    stream_raw(lake, feed, str(landing / "towers"), str(tmp_path / "ck2")).awaitTermination()
+    assert layers.read_raw(lake, feed).count() == 3
+
+
+def test_a_commit_that_died_without_rows_is_written_again(spark, lake, tmp_path):
+    (tmp_path / "lake" / "commits" / "commit=b1" / "_temporary").mkdir(parents=True)
+    batch = lake.begin("b1")
+    lake.write(batch, "t", spark.range(2).selectExpr("id AS v"))
+    lake.commit(batch, D1)
+    assert lake.read("t", "v bigint").count() == 2
+    again = lake.begin("b1")
+    lake.write(again, "other", spark.range(1).selectExpr("id AS v"))
+    with pytest.raises(ValueError):
+        lake.commit(again, D1)
+
+
+@pytest.mark.parametrize("name", ["cdr", "customers"])
+def test_what_is_staged_while_curated_runs_is_carried_over_next(spark, lake, tmp_path, monkeypatch, name):
+    feed, landing, key = FEEDS[name], tmp_path / "in", FEEDS[name].key
+    send(landing, name, "a.csv", {})
+    layers.run_raw(lake, str(landing), [feed], D1)
+    layers.run_staging(lake, [feed], D1)
+    plainly = layers.curate
+
+    def meanwhile(*args, **kwargs):
+        monkeypatch.setattr(layers, "curate", plainly)
+        send(landing, name, "b.csv", {key: "X2"})
+        layers.run_raw(lake, str(landing), [feed], D2)
+        layers.run_staging(lake, [feed], D2)
+        return plainly(*args, **kwargs)
+
+    monkeypatch.setattr(layers, "curate", meanwhile)
+    layers.run_curated(lake, D1, feeds=[name])
+    assert layers.read_target(lake, feed).count() == 1
+    layers.run_curated(lake, D3, feeds=[name])
+    assert layers.read_target(lake, feed).count() == 2
+
+
+def test_a_layer_is_run_again_at_its_batch_time(spark, lake, tmp_path, monkeypatch):
+    feed, landing = FEEDS["towers"], tmp_path / "in"
+    send(landing, "towers", "a.csv", {})
+    with monkeypatch.context() as broken:
+        broken.setattr(layers, "land", lambda *a: 1 / 0)
+        assert outcome(layers.run_raw(lake, str(landing), [feed], D1)) == {feed.load_job: "FAILED"}
+    assert outcome(layers.run_raw(lake, str(landing), [feed], D1)) == {feed.load_job: "SUCCESS"}
+    assert layers.read_raw(lake, feed).count() == 1
+    assert layers.runs(lake).select("run_id").distinct().count() == 2
