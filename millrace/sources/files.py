@@ -4,18 +4,29 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from functools import reduce
+from typing import TypeVar
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from millrace.feeds import Feed
 
+Reader = TypeVar("Reader", DataFrameReader, DataStreamReader)
+
 # Text that stands for null in a feed file.
 NULL_TOKENS = ("", "NULL", "null", "NA")
 
 CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "enforceSchema": "true"}
 
+# The parser gives the text of a record, `_raw`, only if its fields are not as many as the columns. With these
+# columns beyond the feed's, that is every record but one of exactly so many surplus fields.
+PAST = [f"_past{i}" for i in range(7)]
+UNCLOSED, BEHIND = "malformed: a quote is not closed", "malformed: text behind a closing quote"
+BLANKS = "".join(map(chr, range(33)))  # what the parser skips between a closing quote and a delimiter
+
 LOAD_SCHEMA = (
     "feed_name string, source_file_name string, rows_parsed bigint, rows_loaded bigint, "
     "errors_seen bigint, first_error string, loaded_at timestamp_ntz"
@@ -26,13 +37,70 @@ def blank_to_null(c: str) -> Column:
     return F.when(~F.col(c).isin(*NULL_TOKENS), F.col(c))
 
 
+def for_feed(reader: Reader, feed: Feed, multiline: bool | None = None) -> Reader:
+    """The reader, batch or stream, set to the feed's delimited files: its columns, PAST and `_raw`.
+
+    With line breaks in quotes, a record ends at a line feed outside of them; a carriage return before it is cut off.
+    """
+    multiline = feed.multiline if multiline is None else multiline
+    reader = reader.schema(", ".join(f"{c} string" for c in [*feed.columns, *PAST, "_raw"])).options(**CSV_OPTIONS)
+    reader = reader.option("columnNameOfCorruptRecord", "_raw").option("multiLine", multiline)
+    return reader.option("lineSep", "\n") if multiline else reader
+
+
+def not_blank(records: DataFrame) -> DataFrame:
+    """Without the lines that hold white space only; the parser leaves them out itself when it reads by lines."""
+    first = F.coalesce(records[0], F.lit(""))
+    return records.where((F.btrim(first, F.lit(BLANKS)) != "") | F.coalesce(F.btrim("_raw", F.lit(BLANKS)) != "", F.lit(True)))
+
+
+def malformed(feed: Feed) -> Column:
+    """What is wrong with the quotes of a record; null if nothing is. The numbers of its fields do not matter.
+
+    A quote opens a value only as its first character. The text is cut at the quotes; the state says where a piece
+    lies: 0 outside of quotes, 1 inside, 2 behind a quote that closes or is doubled, 3 behind a closed value that goes on.
+    """
+    pieces = F.split(F.concat(F.lit(","), F.col("_raw")), '"', -1)
+
+    def step(state: Column, piece: Column) -> Column:
+        opens = piece.endswith(",").cast("int")
+        return (
+            F.when(state == 0, opens)
+            .when(state == 1, 2)
+            .when((state == 2) & (piece == ""), 1)
+            .when((state == 2) & F.ltrim(piece, F.lit(BLANKS)).startswith(","), opens)
+            .otherwise(3)
+        )
+
+    state = F.aggregate(F.slice(pieces, F.lit(1), F.size(pieces) - 1), F.lit(0), step)
+    rest = F.ltrim(F.element_at(pieces, -1), F.lit(BLANKS))
+    end = F.when((state == 2) & (rest != "") & ~rest.startswith(","), 3).otherwise(state)
+    reasons = F.element_at(F.array(F.lit(UNCLOSED), F.lit(None), F.lit(BEHIND)), F.nullif(end, F.lit(0)))
+    # Without the text, a value that may come of broken quotes is taken for one.
+    odd = [F.coalesce(F.col(c).startswith('"') | F.col(c).contains("\n"), F.lit(False)) for c in [*feed.columns, *PAST]]
+    unseen = F.when(F.col("_raw").isNull() & reduce(lambda a, b: a | b, odd), F.lit(BEHIND))
+    return F.when(F.col("_raw").contains('"'), reasons).otherwise(unseen)
+
+
 def landing_rows(lines: DataFrame, feed: Feed, load_ts: Column) -> DataFrame:
-    """Null tokens out, provenance and load time in. `lines` reads from files."""
-    return lines.select(
-        *[blank_to_null(c).alias(c) for c in feed.columns],
-        F.col("_metadata.file_path").alias("source_file_name"),
-        load_ts.cast("timestamp_ntz").alias("_load_ts"),
-    )
+    """Null tokens out, provenance and load time in. `lines` reads from files; if by `for_feed`, broken ones get `_malformed`."""
+    provenance = F.col("_metadata.file_path").alias("source_file_name")
+    kept: list[str] = ["source_file_name"]
+    if "_raw" in lines.columns:
+        kept.append("_malformed")
+        lines = not_blank(lines)
+        lines = lines.select(*[without_return(c).alias(c) for c in feed.columns], provenance, malformed(feed).alias("_malformed"))
+    else:
+        lines = lines.select(*feed.columns, provenance)
+    columns = [blank_to_null(c).alias(c) for c in feed.columns]
+    return lines.select(*columns, kept[0], load_ts.cast("timestamp_ntz").alias("_load_ts"), *kept[1:])
+
+
+def without_return(c: str) -> Column:
+    """The value without the carriage return of its line's end, which `_raw` lacks."""
+    value = F.col(c)
+    cut = F.left(value, F.char_length(value) - 1)
+    return F.when(value.endswith("\r") & F.col("_raw").endswith(cut), cut).otherwise(value)
 
 
 def read_feed(
@@ -40,19 +108,14 @@ def read_feed(
     feed: Feed,
     paths: str | Sequence[str],
     load_ts: dt.datetime,
-    multiline: bool = False,
+    multiline: bool | None = None,
 ) -> DataFrame:
-    """Delimited files by position into the feed's columns, every one a string.
+    """Delimited files by position into the feed's columns, every one a string, and `_malformed`.
 
-    Short rows end in nulls and surplus fields are dropped. Plain files are split
-    between tasks; `multiline` allows line breaks inside quotes at the price of that.
+    Short rows end in nulls and surplus fields are dropped. Line breaks inside quotes belong to the value, and a
+    file is read by one task; with `multiline=False`, by default the feed's, plain files are split between tasks.
     """
-    lines = (
-        spark.read.schema(feed.landing_schema)
-        .options(**CSV_OPTIONS)
-        .option("multiLine", multiline)
-        .csv(paths if isinstance(paths, str) else list(paths))
-    )
+    lines = for_feed(spark.read, feed, multiline).csv(paths if isinstance(paths, str) else list(paths))
     return landing_rows(lines, feed, F.lit(load_ts))
 
 
@@ -82,12 +145,18 @@ def reject_reason(feed: Feed) -> Column:
 
 
 def flag_rejects(rows: DataFrame, feed: Feed) -> DataFrame:
-    return rows.withColumn("_reject", reject_reason(feed))
+    """`rows` with `_reject`; what was found wrong when the line was parsed comes first."""
+    reason = reject_reason(feed)
+    if "_malformed" not in rows.columns:
+        return rows.withColumn("_reject", reason)
+    return rows.withColumn("_reject", F.coalesce("_malformed", reason)).drop("_malformed")
 
 
 def good_rows(rows: DataFrame, feed: Feed) -> DataFrame:
     """Rows that load. One predicate per column: the optimizer multiplies a predicate
     over many columns by every later renaming of one of them."""
+    if "_malformed" in rows.columns:
+        rows = rows.where(F.col("_malformed").isNull()).drop("_malformed")
     for f in feed.fields:
         rows = rows.where(F.col(f.name).isNull() | (F.length(f.name) <= f.width))
     return rows
@@ -154,12 +223,8 @@ def source_file_counts(spark: SparkSession, feed: Feed, paths: str | Sequence[st
     """Data lines per file, counted in the files themselves; all files in one scan."""
 
     def read() -> DataFrame:
-        lines = (
-            spark.read.schema(feed.landing_schema)
-            .options(**CSV_OPTIONS)
-            .csv(paths if isinstance(paths, str) else list(paths))
-        )
-        return lines.groupBy(F.col("_metadata.file_path").alias("source_file_name")).agg(
+        lines = for_feed(spark.read, feed).csv(paths if isinstance(paths, str) else list(paths))
+        return not_blank(lines).groupBy(F.col("_metadata.file_path").alias("source_file_name")).agg(
             F.count(F.lit(1)).alias("source_row_count")
         )
 

@@ -20,18 +20,13 @@ from millrace.operators.changes import has_changes
 from millrace.operators.staging import stage_rows
 from millrace.operators.merge import SMALL_ROWS
 from millrace.plans.layers import as_inserts, curate, land, raw_table, stage
-from millrace.sources.files import CSV_OPTIONS, landing_rows
+from millrace.sources.files import for_feed, good_rows, landing_rows
 from millrace.sources.tables import Lake
 
 
 def stream_feed_files(spark: SparkSession, feed: Feed, folder: str, files_per_batch: int = 1000) -> DataFrame:
     """New files of a folder as landing rows; all rows of a micro-batch share its time."""
-    lines = (
-        spark.readStream.schema(feed.landing_schema)
-        .options(**CSV_OPTIONS)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(folder)
-    )
+    lines = for_feed(spark.readStream, feed).option("maxFilesPerTrigger", files_per_batch).csv(folder)
     return landing_rows(lines, feed, F.current_timestamp())
 
 
@@ -87,7 +82,7 @@ def stream_distinct(rows: DataFrame, feed: Feed, delay: str = "1 day") -> DataFr
     the size of `delay` and not of the table.
     """
     event_time = F.col("call_start_ts").cast("timestamp")
-    typed = stage_rows(rows, feed, dedupe=False).withColumn("_event_time", event_time)
+    typed = stage_rows(good_rows(rows, feed), feed, dedupe=False).withColumn("_event_time", event_time)
     return typed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([feed.key]).drop("_event_time")
 
 

@@ -70,3 +70,42 @@ def test_json_array(spark, tmp_path):
     (tmp_path / "t.json").write_text('[{"tower_id": "T1", "region": "NA"},\n {"tower_id": "T2", "capacity_mbps": "5"}]')
     got = {r.tower_id: r for r in files.read_json_feed(spark, TOWERS, str(tmp_path), AT).collect()}
     assert got["T1"].region is None and got["T2"].capacity_mbps == "5"
+
+
+HEAD = "tower_id,region,latitude,longitude,capacity_mbps,tower_status\n"
+
+
+def loaded_and_refused(spark, folder, **options):
+    good, bad = files.split_rejects(files.read_feed(spark, TOWERS, str(folder), AT, **options), TOWERS)
+    return {tuple(r)[:6] for r in good.collect()}, {(r.tower_id, r._reject) for r in bad.collect()}
+
+
+def test_line_breaks_in_quotes_are_one_row(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_bytes((HEAD + 'T1,"NOR\nTH",1,2,3,ACTIVE\nT2,"a\r\nb",1,2,3,"x\n"\n\n  \n').encode())
+    (tmp_path / "b.csv").write_bytes((HEAD + 'T3,EAST,1,2,3,NA\nT4,"q",1\n').replace("\n", "\r\n").encode() + b"T5,W,1,2,3,A\n")
+    good, bad = loaded_and_refused(spark, tmp_path)
+    assert good == {
+        ("T1", "NOR\nTH", "1", "2", "3", "ACTIVE"),
+        ("T2", "a\r\nb", "1", "2", "3", "x\n"),
+        ("T3", "EAST", "1", "2", "3", None),
+        ("T4", "q", "1", None, None, None),
+        ("T5", "W", "1", "2", "3", "A"),
+    }
+    assert not bad
+    assert rows(files.source_file_counts(spark, TOWERS, str(tmp_path)), "source_row_count") == [(2,), (3,)]
+
+
+def test_malformed_lines_are_refused_and_counted(spark, tmp_path, rows):
+    lines = ['T1,"x"y,1', 'T2,""z,1', 'T3,"""a""b",1', 'T4,a"b""c,1', 'T5,"""",""', 'T6,"q" ,1', "T7", 'T8,"p,q",1,2,3,A,s,"t"']
+    lines += [f"T9,{','.join('1234A')},{','.join('stuvwxy')}", 'T10,"o,1', 'T11,"p",1']
+    (tmp_path / "a.csv").write_text(HEAD + "\n".join([*lines, 'T12,N,1,2,3,A,"open', "T13,N", ""]))
+    good, bad = loaded_and_refused(spark, tmp_path)
+    assert {(r[0], r[1]) for r in good} == {
+        ("T3", '"a"b'), ("T4", 'a"b""c'), ("T5", '"'), ("T6", "q"), ("T7", None), ("T8", "p,q"), ("T9", "1"),
+    }
+    assert bad == {("T1", files.BEHIND), ("T2", files.BEHIND), ("T10", files.BEHIND), ("T12", files.UNCLOSED)}
+    flagged = files.flag_rejects(files.read_feed(spark, TOWERS, str(tmp_path), AT), TOWERS)
+    assert rows(files.load_report(flagged, TOWERS, AT), "rows_parsed", "rows_loaded", "errors_seen") == [(11, 7, 4)]
+    by_line, refused = loaded_and_refused(spark, tmp_path, multiline=False)
+    assert {r[0] for r in by_line} == {"T3", "T4", "T5", "T6", "T7", "T8", "T9", "T11", "T13"}
+    assert {r[0] for r in refused} == {"T1", "T2", "T10", "T12"}

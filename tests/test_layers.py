@@ -290,3 +290,27 @@ def test_a_layer_is_run_again_at_its_batch_time(spark, lake, tmp_path, monkeypat
     assert outcome(layers.run_raw(lake, str(landing), [feed], D1)) == {feed.load_job: "SUCCESS"}
     assert layers.read_raw(lake, feed).count() == 1
     assert layers.runs(lake).select("run_id").distinct().count() == 2
+
+
+def test_line_breaks_and_malformed_lines_in_batch_and_stream(spark, lake, tmp_path, rows):
+    feed, landing = FEEDS["towers"], tmp_path / "in"
+    send(landing, "towers", "a.csv", {"region": '"NOR\nTH"'}, {"tower_id": "T2", "region": '"x"y'}, {"tower_id": "T3"})
+    read, inserted, updated, rejected = layers.run_raw(lake, str(landing), [feed], D1)[0][3:7]
+    assert (read, inserted, rejected) == (3, 2, 1)
+    assert outcome(layers.run_validate(lake, str(landing), [feed], D1)) == {feed.validate_job: "WARNING"}
+    assert rows(layers.count_log(lake), "source_row_count", "target_row_count") == [(3, 2)]
+    streamed = Lake(spark, str(tmp_path / "streamed"))
+    stream_raw(streamed, feed, str(landing / "towers"), str(tmp_path / "ck")).awaitTermination()
+    for each in (lake, streamed):
+        assert rows(layers.read_raw(each, feed), "tower_id", "region") == [("T1", "NOR\nTH"), ("T3", "NORTH")]
+        assert rows(layers.read_rejects(each, feed), "tower_id", "_reject") == [("T2", "malformed: text behind a closing quote")]
+
+
+def test_bounded_state_dedupe_leaves_out_refused_rows(spark, tmp_path, rows):
+    feed, landing = FEEDS["cdr"], tmp_path / "in"
+    send(landing, "cdr", "a.csv", {}, {"cdr_id": "R2", "region": '"x"y'})
+    out = str(tmp_path / "out")
+    distinct = stream_distinct(stream_feed_files(spark, feed, str(landing / "cdr")), feed)
+    written = distinct.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ck"))
+    written.trigger(availableNow=True).start().awaitTermination()
+    assert rows(spark.read.parquet(out), "cdr_id") == [("R1",)]
