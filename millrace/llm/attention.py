@@ -162,7 +162,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
     The sample's ids are bounded and so may be broadcast; what comes to the driver is the passages' features.
     """
-    ids = label_sample(labels, "quality", rows, remainder("doc_id", 4) != 2, SEED)
+    ids = label_sample(docs, labels, "quality", rows, remainder("doc_id", 4) != 2, SEED)
     marked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(
         F.broadcast(ids), "doc_id"
     )

@@ -44,17 +44,19 @@ def remainder(id_column: str, divisor: int) -> Column:
     return F.pmod(F.crc32(F.col(id_column).cast("string").cast("binary")), F.lit(divisor))
 
 
-def label_sample(labels: DataFrame, label: str, rows: int, keep: Column, seed: int) -> DataFrame:
-    """At most `rows` labelled ids of each class, those with the smallest seeded hashes.
+def label_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, keep: Column, seed: int) -> DataFrame:
+    """At most `rows` labelled ids of each class that `docs` holds, those with the smallest seeded hashes.
 
-    An id with two different labels takes no part. Only the two hashes at which the sample
+    The bound counts ids of `docs` only, so labels of other documents take no place. An id with two different labels takes no part. Only the two hashes at which the sample
     ends reach the driver, so the result, at most 2 * `rows` rows, may be broadcast.
     """
+    there = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     one = (
         labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & keep)
         .groupBy("doc_id")
         .agg(F.min(label).alias("label"), F.max(label).alias("_top"))
         .where(F.col("label") == F.col("_top"))
+        .join(there, "doc_id", "left_semi")
         .select("doc_id", F.col("label").cast("int").alias("label"), F.xxhash64(F.lit(seed), "doc_id").alias("_at"))
     )
     ends = {}

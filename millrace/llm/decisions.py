@@ -218,7 +218,7 @@ def learn(labelled: DataFrame) -> list[Rule]:
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list[Rule]:
     """Learns on at most `rows` documents of each class; the bounded list of their ids is broadcast."""
-    ids = label_sample(labels, "quality", rows, F.lit(True), SEED)
+    ids = label_sample(docs, labels, "quality", rows, F.lit(True), SEED)
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id")
     return learn(statistics(thin))
 

@@ -162,7 +162,7 @@ def bags(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """Fits on at most `rows` documents of each class, up to TRAIN_BYTES long, none of them held out."""
-    ids = label_sample(labels, "toxic", rows, remainder("doc_id", 3) != 1, SEED)
+    ids = label_sample(docs, labels, "toxic", rows, remainder("doc_id", 3) != 1, SEED)
     marked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(ids), "doc_id")
     short = marked.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= TRAIN_BYTES)
 

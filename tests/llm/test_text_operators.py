@@ -9,10 +9,12 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import connect, difference
 from millrace.llm import decisions, maglev, mixing, pieces, records, simhash, subwords, warc
+from millrace.llm.common import label_sample
 from millrace.llm.queries import MIXTURE, PIECES, QUERIES, SQL, TOKENS
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
@@ -152,6 +154,14 @@ def test_statistics(spark, folder):
     assert "Python" not in plan and "MapInArrow" not in plan
 
 
+def test_label_sample_counts_documents_of_the_input(spark):
+    """Labels of documents that are not there, 98 of 100, take none of the places."""
+    labels = spark.range(2000).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS quality")
+    docs = spark.range(2000).where("id % 100 IN (7, 8)").selectExpr("id AS doc_id", "'w' AS text")
+    got = label_sample(docs.union(docs), labels, "quality", 15, F.lit(True), 31).collect()
+    assert sorted(r["label"] for r in got) == [0] * 15 + [1] * 15 and all(r["doc_id"] % 100 in (7, 8) for r in got)
+
+
 def test_decision_list_as_plain_code(spark):
     """The learned expression, row by row, is the first rule that holds."""
     docs, labels = spark.read.parquet(f"{LARGER}/documents.parquet"), spark.read.parquet(f"{LARGER}/labels.parquet")
