@@ -3,7 +3,8 @@
 The statistics are column expressions over the text. From labelled statistics, sequential covering learns rules one by
 one: a rule grows by the threshold condition with the best information gain until it covers no good document,
 is pruned back to the conditions that pay on rows it was not grown on, and is kept if it is precise there; the rows
-it covers are then left out and the next rule is learned. The list becomes an ordered conditional
+it covers are then left out and the next rule is learned, over thresholds of what is left. The first rule that is not
+precise, or covers too little, ends the list, which becomes an ordered conditional
 expression that rejects a document at the first rule it meets.
 """
 
@@ -21,8 +22,9 @@ from millrace.llm.common import aside, label_sample, written
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 TRAIN_ROWS = 4000  # labelled documents of each class at most
-STEPS = [i / 20 for i in range(1, 20)]  # quantiles of both classes that serve as thresholds
-MAX_RULES, MAX_CONDITIONS = 8, 3
+# Quantiles of both classes that serve as thresholds, down to the least and the largest value.
+TAIL = [0.0, 0.001, 0.002, 0.005, 0.01, 0.02]
+STEPS = [*TAIL, *(i / 20 for i in range(1, 20)), *(1 - q for q in reversed(TAIL))]
 LEAST_PRECISION, LEAST_COVER = 0.9, 3
 SEED = 31
 FEATURES = ("symbol_share", "mark_share", "dup_line_share", "repeat_share", "word_length", "words_per_line", "n_words")
@@ -127,12 +129,12 @@ def verdict(rules: list[Rule]) -> Column:
 
 
 def _thresholds(rows: DataFrame) -> dict[str, list[float]]:
-    """Quantiles of each feature in both classes, over the bounded training rows."""
+    """Quantiles of each feature in both classes, over those of the bounded training rows that are left."""
     asked = [
         F.percentile(F.when(F.col("label") == kind, F.col(f)), F.lit(STEPS)).alias(f"{f}{kind}") for f in FEATURES for kind in (0, 1)
     ]
     got = rows.agg(*asked).first()
-    return {f: sorted({round(v, 6) for kind in (0, 1) for v in (got[f"{f}{kind}"] or []) if v is not None}) for f in FEATURES}
+    return {f: sorted({v for kind in (0, 1) for v in (got[f"{f}{kind}"] or []) if v is not None}) for f in FEATURES}
 
 
 def _holds(rule: Rule) -> Column:
@@ -140,15 +142,20 @@ def _holds(rule: Rule) -> Column:
     return reduce(lambda a, b: a & b, parts, F.lit(True))
 
 
+def _below(cuts: list[float], value: Column) -> Column:
+    """How many of the thresholds lie below the value."""
+    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut < value))
+
+
 def _grow(rows: DataFrame, cuts: dict[str, list[float]]) -> Rule:
     """Adds the condition of the best gain until no good row is covered, or none gains."""
     rule: Rule = ()
-    for _ in range(MAX_CONDITIONS):
+    while True:
         # A row lies in one bin of each feature: the number of thresholds below its value.
         bins = [
             F.struct(
                 F.lit(f).alias("f"),
-                reduce(lambda n, cut: n + (F.col(f) > F.lit(cut)).cast("int"), cuts[f], F.lit(0)).alias("bin"),
+                _below(cuts[f], F.col(f)).alias("bin"),
             )
             for f in FEATURES
             if cuts[f]
@@ -178,7 +185,6 @@ def _grow(rows: DataFrame, cuts: dict[str, list[float]]) -> Rule:
         if best is None:
             return rule
         rule = (*rule, best)
-    return rule
 
 
 def _prune(rows: DataFrame, rule: Rule) -> tuple[Rule, int, int]:
@@ -202,18 +208,17 @@ def learn(labelled: DataFrame) -> list[Rule]:
         ),
         "labelled-statistics",
     )
-    cuts, rules = _thresholds(rows), []
-    left = rows
-    for _ in range(MAX_RULES):
-        rule = _grow(left.where(~F.col("apart")), cuts)
+    left, rules = rows, []
+    while True:
+        grown_on = left.where(~F.col("apart"))
+        rule = _grow(grown_on, _thresholds(grown_on))
         if not rule:
-            break
+            return rules
         rule, bad, good = _prune(left.where("apart"), rule)
         if bad < LEAST_COVER or bad < LEAST_PRECISION * (bad + good):
-            break
+            return rules
         rules.append(rule)
         left = left.where(~_holds(rule))
-    return rules
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list[Rule]:

@@ -162,6 +162,26 @@ def test_label_sample_counts_documents_of_the_input(spark):
     assert sorted(r["label"] for r in got) == [0] * 15 + [1] * 15 and all(r["doc_id"] % 100 in (7, 8) for r in got)
 
 
+def test_rare_kinds_of_bad_documents_get_rules(spark):
+    """Twelve kinds, each a fiftieth of label 0, lie beyond what good documents have, and one good in ten lies near them."""
+    shares = ["n_symbols", "n_marks", "n_dup_lines", "n_repeat_words"]
+    rows = []
+    for i in range(6000):
+        label, kind = i % 2, i // 2 % 50
+        s = dict(n_words=1000, word_chars=5000, n_lines=100, **dict.fromkeys(shares, 0))
+        if kind >= 45:
+            s |= {"n_symbols": kind, "n_marks": kind, "n_dup_lines": 1 + kind // 49, "n_repeat_words": kind}
+        if not label and kind < 12:
+            name = ["n_symbols", "n_marks", "n_dup_lines", "n_repeat_words", "n_words", "word_chars"][kind % 6]
+            far = {"n_words": (60, 90_000), "word_chars": (1000, 90_000)}.get(name, (60, 90))
+            s[name] = far[kind // 6]
+        rows.append((i, label, label == 1 or kind >= 12, s))
+    struct = "struct<n_words long, word_chars long, n_lines long, n_symbols long, n_marks long, n_dup_lines long, n_repeat_words long>"
+    frame = spark.createDataFrame(rows, f"doc_id long, label int, stays boolean, _s {struct}")
+    rules = decisions.learn(frame)
+    assert frame.where(F.col("stays") != decisions.verdict(rules)).count() == 0, rules
+
+
 def test_decision_list_as_plain_code(spark):
     """The learned expression, row by row, is the first rule that holds."""
     docs, labels = spark.read.parquet(f"{LARGER}/documents.parquet"), spark.read.parquet(f"{LARGER}/labels.parquet")
