@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType
 
-from millrace.llm.common import aside, label_sample, remainder, slices, string_parts
+from millrace.llm.common import aside, label_sample, remainder, sampled_texts, slices, string_parts
 
 PASSAGE = 1024
 BLOCK = 1 << 20  # bytes whose features are held at once
@@ -163,10 +163,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     The sample's ids are bounded and so may be broadcast; what comes to the driver is the passages' features.
     """
     ids = label_sample(docs, labels, "quality", rows, remainder("doc_id", 4) != 2, SEED)
-    marked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(
-        F.broadcast(ids), "doc_id"
-    )
-    short = marked.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= TRAIN_BYTES)
+    short = sampled_texts(docs, ids).where(F.coalesce(F.octet_length("text"), F.lit(0)) <= TRAIN_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):

@@ -70,6 +70,16 @@ def label_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, keep
     return one.where(inside).select("doc_id", "label")
 
 
+def sampled_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """`doc_id`, `label` and text of the sampled ids, one row of each: that with the smallest text hash.
+
+    An id that many rows repeat is one training document, so the sample's bound is one of rows too.
+    """
+    thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    marked = thin.join(F.broadcast(ids), "doc_id")
+    return marked.groupBy("doc_id").agg(F.min("label").alias("label"), F.min_by("text", F.xxhash64("text")).alias("text"))
+
+
 def string_parts(array: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (from 0) of a string column; nulls have no bytes."""
     array = array.combine_chunks() if isinstance(array, pa.ChunkedArray) else array

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import aside, label_sample, written
+from millrace.llm.common import aside, label_sample, sampled_texts, written
 
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -224,8 +224,7 @@ def learn(labelled: DataFrame) -> list[Rule]:
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list[Rule]:
     """Learns on at most `rows` documents of each class; the bounded list of their ids is broadcast."""
     ids = label_sample(docs, labels, "quality", rows, F.lit(True), SEED)
-    thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id")
-    return learn(statistics(thin))
+    return learn(statistics(sampled_texts(docs, ids)))
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:

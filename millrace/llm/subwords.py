@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import label_sample, remainder, slices
+from millrace.llm.common import label_sample, remainder, sampled_texts, slices
 
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 17
@@ -163,8 +163,7 @@ def bags(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """Fits on at most `rows` documents of each class, up to TRAIN_BYTES long, none of them held out."""
     ids = label_sample(docs, labels, "toxic", rows, remainder("doc_id", 3) != 1, SEED)
-    marked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(ids), "doc_id")
-    short = marked.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= TRAIN_BYTES)
+    short = sampled_texts(docs, ids).where(F.coalesce(F.octet_length("text"), F.lit(0)) <= TRAIN_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from compare import connect, difference
 from millrace.llm import decisions, maglev, mixing, pieces, records, simhash, subwords, warc
-from millrace.llm.common import label_sample
+from millrace.llm.common import label_sample, sampled_texts
 from millrace.llm.queries import MIXTURE, PIECES, QUERIES, SQL, TOKENS
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
@@ -162,6 +162,14 @@ def test_label_sample_counts_documents_of_the_input(spark):
     assert sorted(r["label"] for r in got) == [0] * 15 + [1] * 15 and all(r["doc_id"] % 100 in (7, 8) for r in got)
 
 
+def test_a_repeated_id_is_one_training_document(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (1, None), (2, "c"), (3, None), (4, "d")] + [(1, "b")] * 50, "doc_id long, text string")
+    ids = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "doc_id long, label int")
+    got = [sampled_texts(d, ids).collect() for d in (docs, docs.orderBy(F.desc("text")).repartition(5))]
+    assert sorted(map(repr, got[0])) == sorted(map(repr, got[1]))
+    assert sorted(r["doc_id"] for r in got[0]) == [1, 2, 3]
+
+
 def test_rare_kinds_of_bad_documents_get_rules(spark):
     """Twelve kinds, each a fiftieth of label 0, lie beyond what good documents have, and one good in ten lies near them."""
     shares = ["n_symbols", "n_marks", "n_dup_lines", "n_repeat_words"]
