@@ -6,17 +6,12 @@ next one's docs. All stages but the last return documents with the columns they
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import attention, decisions, mixing, pieces, simhash
 from millrace.llm.common import table, written
 from millrace.llm.queries import MIXTURE, PIECES
 
-# No document is repeated in the pipeline, and nine tenths of what is left are taken.
-PIPELINE_MIXTURE = replace(MIXTURE, epochs=1, parts=9, whole=10)
-
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the attention classifier scores 0.7 or more."""
@@ -34,8 +29,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token-prefix of every leaf of the domain-language-source tree."""
-    return mixing.take(docs, PIPELINE_MIXTURE)
+    """The documents as often as op1's mixture takes them; what is short of its weight is repeated, in two epochs at most."""
+    return mixing.take(docs, MIXTURE)
 
 
 def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

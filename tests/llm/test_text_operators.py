@@ -320,6 +320,15 @@ def test_shortages_go_to_siblings_first(spark):
     assert got == {"src0": 10, "src4": 493, "src1": 502} or got == {"src0": 10, "src4": 492, "src1": 503}
 
 
+def test_pipeline_mixture_reaches_its_weights(spark):
+    """From domains of equal supply, the shares of tokens are 5, 3, 2 and 2 twelfths."""
+    docs = spark.range(1200).selectExpr("id AS doc_id", "repeat('w ', 20) AS text", "'en' AS lang", "concat('src', id % 4) AS source")
+    taken = corpus_pipeline.source_mixture(spark, docs, "").groupBy("source").count().collect()
+    got, whole = {r["source"]: r["count"] for r in taken}, sum(r["count"] for r in taken)
+    for source, weight in (("src0", 5), ("src1", 3), ("src2", 2), ("src3", 2)):
+        assert abs(got[source] / whole - weight / 12) < 0.01, got
+
+
 def test_pipeline(spark, folder):
     """Each stage alone, from what its operator or plain code says of its input."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")
