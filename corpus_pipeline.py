@@ -46,7 +46,7 @@ STAGES = [
     ("SentencePiece encoding and decoding", sentence_pieces),
 ]
 
-# Trained models and 64-bit hashes of shingles have no SQL form; tests hold run() against a brute-force version.
+# Trained models and 64-bit hashes of shingles have no SQL form; tests hold near-dedup against plain code, run() by its row count.
 ORACLE_SQL = None
 
 
