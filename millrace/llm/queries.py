@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import attention, decisions, maglev, maxscore, mixing, pieces, records, simhash, subwords, warc
+from millrace.llm import attention, decisions, dualtree, maglev, maxscore, mixing, phrases, pieces, records, simhash, subwords, suffixes, warc
 from millrace.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -81,6 +81,21 @@ def op10_sampled_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encoded(table(spark, folder, "documents"), PIECES, seed=42, power=1.0)
 
 
+def op11_dual_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """The fifty best documents for each benchmark item."""
+    return dualtree.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=50)
+
+
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 2,000 phrases of each language by score, of those found a hundred times."""
+    return phrases.collocations(table(spark, folder, "documents"), least=100, top=2000)
+
+
+def op13_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of each document without its repeated strings of 200 bytes."""
+    return suffixes.without_repeats(table(spark, folder, "documents"), least=200).drop("kept")
+
+
 QUERIES = {
     name: fn
     for name, fn in globals().copy().items()
@@ -91,4 +106,6 @@ SQL = {
     "op2_maxscore": maxscore.sql(every=50, k=5),
     "op3_warc_bundles": warc.SQL,
     "op4_shard_placement": maglev.sql("documents", "source", "doc_id", SHARDS, SLOTS, HOT_SHARE),
+    "op11_dual_tree": dualtree.sql(k=50),
+    "op12_collocations": phrases.sql(least=100, top=2000),
 }
