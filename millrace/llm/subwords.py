@@ -5,6 +5,10 @@ embedding table. A document is the mean of all its subword vectors; a linear sof
 are trained together in numpy on a bounded sample of labelled documents. A misspelt or unseen word
 shares most n-grams with the words it stems from, and so their vectors.
 
+Every subword of the sample has a vector; others have the zero vector, and count in the mean like the rest. What keeps thousands of subwords that
+say nothing from drowning the few that do is shrinkage: a vector begins at the log odds of the label where the subword
+occurs, shrunk by how weak the evidence for them is, and its steps are shrunk by the same factor.
+
 Scoring is linear up to the softmax, so a distinct word of a slice is worked out once and counted as often as it occurs.
 """
 
@@ -18,15 +22,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import label_sample, remainder, sampled_texts, slices
+from millrace.llm.common import label_sample, remainder, sampled_texts, slices, written
 
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 17
-DIM = 6
+DIM = 2
 TRAIN_ROWS = 1500  # labelled documents of each class at most
-TRAIN_BYTES = 8_000  # longer documents are scored but not trained on
-LEAST_DOCS = 4  # training documents that a subword must occur in to have a vector
-LEAST_CHI = 10.8  # chi-square below which a subword says nothing of the label; one in a thousand passes by chance
+TRAIN_PAIRS = 4_000_000  # of (document, distinct subword) in the sample; whole documents, of any length, are taken up to it
+SHRINK = 16.0  # likelihood ratio (twice its logarithm) at which a subword's vector is shrunk to a quarter
+ROUNDS = 25
 SEED = 23
 EDGES = " .,;:!?\"'()[]{}#*$%&|<>=/-"  # cut off at both ends of a word
 
@@ -75,34 +79,40 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Embedding table and softmax; `known` marks the subwords that have a vector."""
+    """Embedding table and softmax."""
 
     def __init__(self, seed: int = SEED):
         rng = np.random.default_rng(seed)
-        self.table = rng.uniform(-1, 1, (BUCKETS, DIM)) / DIM
-        self.out = rng.normal(0, 0.5, (DIM, 2))
+        self.table = np.zeros((BUCKETS, DIM))
+        self.out = rng.normal(0, 0.1, (DIM, 2))
+        self.out[0] = -0.5, 0.5
         self.bias = np.zeros(2)
-        self.known = np.zeros(BUCKETS, bool)
 
     def margins(self) -> np.ndarray:
         """What one occurrence of a subword adds to the margin of label 1 over 0."""
-        return np.where(self.known, self.table @ (self.out[:, 1] - self.out[:, 0]), 0.0)
+        return self.table @ (self.out[:, 1] - self.out[:, 0])
 
 
-def telling(doc: np.ndarray, bucket: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The subwords that get a vector: found in LEAST_DOCS documents, and unevenly so over the classes.
+def evidence(column: np.ndarray, doc: np.ndarray, y: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds of the label for the documents with each of `n` subwords against those without, and their shrinkage factor, 0 to 1.
 
-    Others would only water down the mean. Unevenness is the chi-square of occurring against the label.
+    Half a document is added to each count for the odds. The factor grows with twice the log likelihood ratio of the four
+    counts against independence: far below SHRINK it is about nothing, far above about one.
     """
-    n, toxic = len(y), y.sum()
-    seen = np.bincount(bucket, minlength=BUCKETS).astype(np.float64)
-    inside = np.bincount(bucket, weights=y[doc], minlength=BUCKETS)
-    odd = inside * (n - toxic - seen + inside) - (toxic - inside) * (seen - inside)
-    chi = n * odd**2 / np.maximum(1e-9, toxic * (n - toxic) * seen * (n - seen))
-    return (seen >= LEAST_DOCS) & (chi >= LEAST_CHI)
-
-
-def fit(doc: np.ndarray, bucket: np.ndarray, count: np.ndarray, y: np.ndarray, rounds: int = 120, rate: float = 1.0, seed: int = SEED) -> Model:
+    seen = np.bincount(column, minlength=n).astype(np.float64)
+    inside = np.bincount(column, weights=y[doc], minlength=n)
+    toxic, clean = y.sum(), (1 - y).sum()
+    counts = np.stack([inside, toxic - inside, seen - inside, clean - seen + inside])
+    odds = np.log((counts[0] + 0.5) * (counts[3] + 0.5) / ((counts[1] + 0.5) * (counts[2] + 0.5)))
+    part = toxic / (toxic + clean)
+    without = toxic + clean - seen
+    expected = np.stack([seen * part, without * part, seen * (1 - part), without * (1 - part)])
+    ratio = 2 * (counts * np.log(np.maximum(counts, 1e-9) / np.maximum(expected, 1e-9))).sum(axis=0)
+    ratio = np.maximum(0.0, ratio)
+    return odds, (ratio / (ratio + SHRINK)) ** 2
+
+
+def fit(doc: np.ndarray, bucket: np.ndarray, count: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, rate: float = 1.0, seed: int = SEED) -> Model:
     """Trains on documents given as (document, bucket, count); both classes weigh the same.
 
     Without both classes the score is the same for all.
@@ -112,32 +122,45 @@ def fit(doc: np.ndarray, bucket: np.ndarray, count: np.ndarray, y: np.ndarray, r
     if n == 0 or y.min() == y.max():
         model.bias = np.array([0.0, 0.0 if not n else (4.0 if y[0] else -4.0)])
         return model
-    model.known = telling(doc, bucket, y)
-    own = model.known[bucket]
-    names = np.flatnonzero(model.known)
-    place = np.zeros(BUCKETS, np.int64)
-    place[names] = np.arange(len(names))
-    doc, column, count = doc[own], place[bucket[own]], count[own].astype(np.float64)
+    names, column = np.unique(bucket, return_inverse=True)
     length = np.maximum(1.0, np.bincount(doc, weights=count, minlength=n))
     share = count / length[doc]
-    table = model.table[names]
-    weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
+    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     target = np.stack([1 - y, y], axis=1)
-    state = [np.zeros_like(table), np.zeros_like(model.out), np.zeros_like(model.bias)]
-    # A subword's step is scaled by its own share of the corpus, so rare ones do not stand still.
-    scale = 1 / np.sqrt(np.bincount(column, weights=share**2 * weight[doc], minlength=len(names)) + 1e-8)
-    for step in range(rounds):
-        h = np.stack([np.bincount(doc, weights=share * table[column, d], minlength=n) for d in range(DIM)], axis=1)
+
+    def means(table: np.ndarray) -> np.ndarray:
+        return np.stack([np.bincount(doc, weights=share * table[column, d], minlength=n) for d in range(DIM)], axis=1)
+
+    odds, factor = evidence(column, doc, y, len(names))
+    table = np.random.default_rng(seed).uniform(-0.01, 0.01, (len(names), DIM)) * factor[:, None]
+    table[:, 0] += odds * factor
+    first = means(table)[:, 0]
+    centre = np.average(first, weights=weight)
+    spread = max(1e-9, np.sqrt(np.average((first - centre) ** 2, weights=weight)))
+    table /= spread
+    model.bias = np.array([0.5, -0.5]) * centre / spread
+
+    def errors(h: np.ndarray) -> np.ndarray:
         z = h @ model.out + model.bias
         p = np.exp(z - z.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        g = (p - target) * weight[:, None]
+        return (p / p.sum(axis=1, keepdims=True) - target) * weight[:, None]
+
+    # The softmax alone first, or the table would make up for its being off.
+    h = means(table)
+    for _ in range(200):
+        g = errors(h)
+        model.out -= 0.5 * h.T @ g
+        model.bias -= 0.5 * g.sum(axis=0)
+    # A subword's step is scaled by its own share of the corpus, so rare ones do not stand still, and by the evidence for it.
+    scale = factor / (np.sqrt(np.bincount(column, weights=share**2 * weight[doc], minlength=len(names))) + 1e-4)
+    state = [np.zeros_like(table), np.zeros_like(model.out), np.zeros_like(model.bias)]
+    for step in range(rounds):
+        h = means(table)
+        g = errors(h)
         back = g @ model.out.T
         grad = np.stack([np.bincount(column, weights=share * back[doc, d], minlength=len(names)) for d in range(DIM)], axis=1)
-        moves = [grad * scale[:, None], h.T @ g, g.sum(axis=0)]
         now = rate * (1 - step / rounds)
-        for i, (held, move) in enumerate(zip(state, moves, strict=True)):
-            state[i] = 0.9 * held + move
+        state = [0.9 * held + move for held, move in zip(state, [grad * scale[:, None], h.T @ g, g.sum(axis=0)], strict=True)]
         table -= now * state[0]
         model.out -= now * state[1]
         model.bias -= now * state[2]
@@ -160,10 +183,21 @@ def bags(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Fits on at most `rows` documents of each class, up to TRAIN_BYTES long, none of them held out."""
+def chosen(order: list[tuple[int, int, int]], most: int) -> list[int]:
+    """Ids taken from (id, label, pairs) in their order, the classes in turn, while their pairs are `most` or fewer together."""
+    queues = [[r for r in order if r[1] == label] for label in (0, 1)]
+    out, total = [], 0
+    for i in range(max(map(len, queues))):
+        for queue in queues:
+            if i < len(queue) and total + queue[i][2] <= most:
+                out.append(queue[i][0])
+                total += queue[i][2]
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, pairs: int = TRAIN_PAIRS) -> Model:
+    """Fits on at most `rows` documents of each class and `pairs` subwords in them, none held out. Texts are whole, whatever their length."""
     ids = label_sample(docs, labels, "toxic", rows, remainder("doc_id", 3) != 1, SEED)
-    short = sampled_texts(docs, ids).where(F.coalesce(F.octet_length("text"), F.lit(0)) <= TRAIN_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -173,25 +207,24 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
             columns = [part.column("doc_id"), part.column("label"), names, counts]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "buckets", "counts"])
 
-    got = short.mapInArrow(run, "doc_id long, label int, buckets binary, counts binary").toArrow().to_pylist()
-    got.sort(key=lambda r: (r["doc_id"], r["buckets"], r["counts"]))
-    names = [np.frombuffer(r["buckets"], np.int32) for r in got]
-    counts = [np.frombuffer(r["counts"], np.int32) for r in got]
-    none = np.zeros(0, np.int32)
-    doc = np.repeat(np.arange(len(got)), [len(x) for x in names]) if got else none
-    y = np.array([r["label"] for r in got], np.float64)
-    return fit(doc, np.concatenate([none, *names]).astype(np.int64), np.concatenate([none, *counts]), y)
+    bagged = written(sampled_texts(docs, ids).mapInArrow(run, "doc_id long, label int, buckets binary, counts binary"), "subword-bags")
+    size = (F.octet_length("buckets") / 4).cast("long").alias("pairs")
+    thin = bagged.select("doc_id", "label", size).orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").collect()
+    taken = bagged.where(F.col("doc_id").isin(chosen([tuple(r) for r in thin], pairs)))
+    got = taken.orderBy("doc_id").toArrow()
+    doc = np.repeat(np.arange(len(got)), [len(x) // 4 for x in got.column("buckets").to_pylist()])
+    bucket, count = (np.frombuffer(b"".join(got.column(c).to_pylist()), np.int32) for c in ("buckets", "counts"))
+    return fit(doc, bucket.astype(np.int64), count.astype(np.float64), np.asarray(got.column("label")).astype(np.float64))
 
 
-def score_texts(texts: pa.Array, margins: np.ndarray, known: np.ndarray, bias: float) -> np.ndarray:
+def score_texts(texts: pa.Array, margins: np.ndarray, bias: float) -> np.ndarray:
     words, codes, sizes = word_counts(texts)
     bucket, each = subwords(words)
     of = np.repeat(np.arange(len(words)), each)
     value = np.bincount(of, weights=margins[bucket], minlength=len(words))
-    held = np.bincount(of, weights=known[bucket], minlength=len(words))
     doc = np.repeat(np.arange(len(sizes)), sizes)
     total = np.bincount(doc, weights=value[codes], minlength=len(sizes))
-    length = np.bincount(doc, weights=held[codes], minlength=len(sizes))
+    length = np.bincount(doc, weights=each[codes], minlength=len(sizes))
     return 1 / (1 + np.exp(-np.clip(total / np.maximum(1.0, length) + bias, -50, 50)))
 
 
@@ -200,12 +233,15 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Data
 
     A text without words, null or empty, has the score of the bias alone. A null doc_id is not held out.
     """
-    model = train(docs, labels)
-    margins, known, bias = model.margins(), model.known.astype(np.float64), float(model.bias[1] - model.bias[0])
+    return scored(docs, train(docs, labels), threshold)
+
+
+def scored(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
+    margins, bias = model.margins(), float(model.bias[1] - model.bias[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            score = np.round(score_texts(part.column("text"), margins, known, bias), 12)
+            score = np.round(score_texts(part.column("text"), margins, bias), 12)
             columns = [part.column("doc_id"), part.column("held_out"), pa.array(score), pa.array((score >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "score", "predicted"])
 
