@@ -105,8 +105,8 @@ class Shard:
 def top_k(rows: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     """`query_id`, `rank`, `vec_id`, `score`: the k best rows for each row whose id is divisible by `every`.
 
-    Scores that tie go to the smaller vec_id. Rows of the query's own id are no candidates. Equal query rows count once; two
-    different vectors of one id are two queries.
+    Scores that tie go to the smaller vec_id. Rows of the query's own id are no candidates. An id has k
+    rows, however often it is repeated: of several vectors of one id, the k best pairs of one of them and a row count, equal ones once.
     """
     vectors = written(integer_vectors(rows), "vectors")
     asked = written(vectors.where(F.pmod("vec_id", F.lit(every)) == 0).distinct(), "queries")
@@ -118,26 +118,22 @@ def top_k(rows: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     left = vectors.withColumn("shard", F.pmod(number, F.lit(shards)).cast("int")).withColumn("block", spread(blocks))
     right = asked.withColumn("block", F.pmod(number, F.lit(blocks)).cast("int")).withColumn("shard", spread(shards))
     cells = ["shard", "block"]
-    schema = pa.schema([("query_id", pa.int64()), ("query_key", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def work(held: pa.Table, wanted: pa.Table) -> pa.Table:
-        out: list[list[np.ndarray]] = [[], [], [], []]
+        out: list[list[np.ndarray]] = [[], [], []]
         if len(held) and len(wanted):
             shard = Shard(np.asarray(held.column("vec_id")), _matrix(held.column("v"), width))
             queries = _matrix(wanted.column("v"), width)
-            keys = np.asarray(wanted.column("key"))
-            for own, key, query in zip(np.asarray(wanted.column("vec_id")).tolist(), keys, queries, strict=True):
+            for own, query in zip(np.asarray(wanted.column("vec_id")).tolist(), queries, strict=True):
                 ids, scores = shard.search(own, query, k)
-                for cell, part in zip(out, (np.full(len(ids), own), np.full(len(ids), key), ids, scores), strict=True):
+                for cell, part in zip(out, (np.full(len(ids), own), ids, scores), strict=True):
                     cell.append(part)
         none = np.zeros(0, np.int64)
         return pa.table([np.concatenate([none, *c]) for c in out], schema=schema)
 
-    right = right.withColumn("key", F.xxhash64("v"))
-    found = left.groupBy(*cells).cogroup(right.groupBy(*cells)).applyInArrow(
-        work, "query_id long, query_key long, vec_id long, score long"
-    )
-    best = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
+    found = left.groupBy(*cells).cogroup(right.groupBy(*cells)).applyInArrow(work, "query_id long, vec_id long, score long")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
@@ -149,7 +145,7 @@ def sql(every: int = 50, k: int = 5) -> str:
           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     ), s AS (
         SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
-        FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % {every} = 0
+        FROM (SELECT DISTINCT * FROM v) q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % {every} = 0
     )
     SELECT query_id, rank::INT AS rank, vec_id, score
     FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= {k}

@@ -334,12 +334,20 @@ WITH pieces AS (
          unnest(string_split_regex(translate(coalesce(text, ''), '{upper}', '{lower}'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents
 ), worded AS (
-  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+  SELECT lang, row_number() OVER () AS p, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
 ), totals AS (
   SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM worded GROUP BY lang
+), words AS (
+  SELECT lang, p, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM worded
+), runs AS (
+  SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4, lead(w1, 4) OVER o AS w5
+  FROM words WINDOW o AS (PARTITION BY p ORDER BY i)
 ), grams AS (
-  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i : i + m - 1], ' '))) AS phrase
-  FROM worded, (SELECT unnest(range(1, {LONGEST + 1})) AS m) WHERE len(w) >= m
+  SELECT lang, 1 AS m, w1 AS phrase FROM runs
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM runs WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM runs WHERE w3 IS NOT NULL
+  UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM runs WHERE w4 IS NOT NULL
+  UNION ALL SELECT lang, 5, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5 FROM runs WHERE w5 IS NOT NULL
 ), counted AS (
   SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= {least}
 ), inner_parts AS (

@@ -41,7 +41,7 @@ def op2_maxscore(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
     """What the archives of all pages tell of each when they are read back."""
-    return warc.round_trip(table(spark, folder, "pages"), least=0)
+    return warc.round_trip(table(spark, folder, "pages"), least=0).drop("record_id")
 
 
 def op4_shard_placement(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,7 +3,8 @@
 A bundle is a run of independent Zstandard frames, each holding some whole WARC records, and at its end
 a skippable frame with the seek table: compressed and plain size of every frame, their number, and
 the format's closing mark. Any reader of Zstandard can unpack a bundle from front to back; a
-reader of the table can go to one frame. The record index maps each record to its bundle, frame and the place in that frame.
+reader of the table can go to one frame. The record index maps each record's identifier, of which there is one of a kind, to its bundle, frame and
+the place in that frame, and reading back goes by it.
 
 Pages with equal payloads are stored once: the one with the largest page_id is a response, the others revisit it.
 """
@@ -39,11 +40,12 @@ def bare_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(page_id: int | None, digest: str) -> str:
-    return f"urn:page:{'none' if page_id is None else page_id}:{digest}"
+def record_id(page_id: int | None, digest: str, mark: str = "") -> str:
+    """The identifier of the one response with a payload; records that it doesn't tell apart have a mark of their own."""
+    return f"urn:page:{'none' if page_id is None else page_id}:{digest}{mark and ':' + mark}"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers: int | None, revisit: bool, date: str) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers: int | None, revisit: bool, date: str, mark: str = "") -> bytes:
     """One WARC record; a revisit holds the page's HTTP head and names the response that has its payload."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisit else http + payload
@@ -51,7 +53,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     head = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: <{record_id(page_id, digest)}>",
+        f"WARC-Record-ID: <{record_id(page_id, digest, mark)}>",
         f"WARC-Date: {date}",
         f"WARC-Target-URI: {target}",
         f"WARC-Payload-Digest: sha1:{digest}",
@@ -159,55 +161,65 @@ def read_record(bundle: str, frame: int, offset: int) -> tuple[dict[str, str], b
 
 
 def mark_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
-    """`page_id`, `url`, `payload`, `sha1`, `revisit`, `refers_to` of each page.
+    """`page_id`, `url`, `payload`, `sha1`, `revisit`, `refers_to` and `marked` of each page.
 
-    Among rows with equal payloads of at least `least` bytes that with the largest page_id is a response (any id before a null
-    one) and the others revisit it. If rows repeat that page_id with this payload, it is the one with the largest url, and rows that
-    repeat that url too are all stored as responses. A shared payload is one row of the small side of the join, and
+    Among rows with equal payloads of at least `least` bytes that with the largest page_id is the response (any id before a null
+    one; of several, that with the largest url) and the others revisit it. Of rows equal in all of that one is the
+    response: they are counted, not looked at one by one, and one row with their payload stands for all. `marked` rows need
+    more than page and payload to be told apart. A shared payload is one row of the small side of the join, and
     is dealt over salts, so that the pages that share it do not meet in one task.
     """
     payload = F.coalesce(F.encode(F.col("html").cast("string"), "UTF-8"), F.lit(b""))
     base = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), payload.alias("payload"))
     base = base.withColumn("sha1", F.sha1("payload"))
-    rank = F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", "url")
     wide = F.octet_length("payload") >= least
-    shared = (
-        base.where(wide).groupBy("sha1").agg(F.max(rank).alias("top"), F.count("*").alias("n")).where("n > 1")
-    )
+    each = base.groupBy("sha1", "page_id", "url", wide.alias("wide")).agg(F.count("*").alias("n"))
+    rank = F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", "url", "n")
+    shared = written(each.groupBy("sha1", "wide").agg(F.max(rank).alias("top"), F.sum("n").alias("n")).where("n > 1"), "payloads")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    dealt = shared.select(F.col("sha1").alias("_sha1"), "top", salts.alias("_salt"))
+    dealt = shared.select(F.col("sha1").alias("_sha1"), "wide", "top", salts.alias("_salt"))
     salted = base.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
     joined = salted.join(dealt, (F.col("sha1") == F.col("_sha1")) & (F.col("salt") == F.col("_salt")), "left")
     own = F.col("page_id").eqNullSafe(F.col("top.page_id")) & F.col("url").eqNullSafe(F.col("top.url"))
-    revisit = F.col("top").isNotNull() & ~own
-    return joined.select(
-        "page_id", "url", "payload", "sha1", revisit.alias("revisit"), F.when(revisit, F.col("top.page_id")).alias("refers_to")
-    )
+    known = F.col("top").isNotNull()
+    revisit = known & F.col("wide") & ~own
+    columns = ["page_id", "url", "payload", "sha1"]
+    told = [revisit.alias("revisit"), F.when(revisit, F.col("top.page_id")).alias("refers_to"), (known & ~(F.col("wide") & own)).alias("marked")]
+    repeated = known & F.col("wide") & own & (F.col("top.n") > 1)
+    if shared.where("wide AND top.n > 1").isEmpty():
+        return joined.select(*columns, *told)
+    one = joined.where(repeated).groupBy("page_id", "url", "sha1").agg(F.first("payload").alias("payload"), F.count("*").alias("n"))
+    copies = one.select(*columns, F.explode(F.sequence(F.lit(1), F.col("n"))).alias("at"))
+    again = F.col("at") > 1
+    copies = copies.select(*columns, again.alias("revisit"), F.when(again, F.col("page_id")).alias("refers_to"), again.alias("marked"))
+    return joined.where(~repeated).select(*columns, *told).unionByName(copies)
 
 
 def write_bundles(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z", least: int = 0) -> DataFrame:
     """Writes every page to bundles in `folder`; returns the record index as a stored table.
 
-    Its rows are `page_id`, `record_type`, `payload_digest`, `refers_to`, `bundle`, `frame`, `frame_start` (in the bundle),
+    Its rows are `record_id`, `page_id`, `record_type`, `payload_digest`, `refers_to`, `bundle`, `frame`, `frame_start` (in the bundle),
     `offset` (in the unpacked frame) and `size`. Bundle names hold the task attempt, and the
     index names only bundles of attempts that ended well, so a lost executor leaves no half bundle in use.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        writer, name, number = None, "", 0
+        writer, name, number, done = None, "", 0, 0
         for batch in slices(batches, "payload"):
             rows: list[tuple] = []
-            for page, url, payload, sha1, revisit, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for page, url, payload, sha1, revisit, refers, marked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if writer is None:
                     name = f"{folder}/bundle-{context.partitionId():06d}-{context.taskAttemptId()}-{number}.warc.zst"
                     writer, number = BundleWriter(name), number + 1
                 digest = base64.b32encode(bytes.fromhex(sha1)).decode()
                 start = writer.at
-                data = record(page, url, payload, digest, refers, revisit, date)
+                mark = f"{context.partitionId()}-{context.taskAttemptId()}-{done}" if marked else ""
+                done += 1
+                data = record(page, url, payload, digest, refers, revisit, date, mark)
                 frame, offset = writer.add(data)
                 kind = "revisit" if revisit else "response"
-                rows.append((page, kind, digest, refers, name, frame, start, offset, len(data)))
+                rows.append((record_id(page, digest, mark), page, kind, digest, refers, name, frame, start, offset, len(data)))
                 if writer.at >= BUNDLE_BYTES:
                     writer.close()
                     writer = None
@@ -216,18 +228,19 @@ def write_bundles(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:0
             writer.close()
 
     index = pa.schema(
-        [("page_id", pa.int64()), ("record_type", pa.string()), ("payload_digest", pa.string()), ("refers_to", pa.int64())]
+        [("record_id", pa.string()), ("page_id", pa.int64()), ("record_type", pa.string()), ("payload_digest", pa.string()), ("refers_to", pa.int64())]
         + [("bundle", pa.string()), ("frame", pa.int64()), ("frame_start", pa.int64()), ("offset", pa.int64()), ("size", pa.int64())]
     )
-    schema = "page_id long, record_type string, payload_digest string, refers_to long, bundle string, frame long, frame_start long, offset long, size long"
+    schema = "record_id string, page_id long, record_type string, payload_digest string, refers_to long, bundle string, frame long, frame_start long, offset long, size long"
     return written(mark_revisits(pages, least).mapInArrow(run, schema), "warc-index")
 
 
 def read_bundles(index: DataFrame) -> DataFrame:
-    """`page_id`, `payload_bytes`, `payload_digest`, `record_type`, `refers_to` of all records, from the bundles themselves.
+    """`record_id`, `page_id`, `payload_bytes`, `payload_digest`, `record_type`, `refers_to` of all records of the index, from the bundles.
 
-    A response's digest is computed anew from its payload and must be the one it states; a revisit's size
-    and digest are those its headers state. One task reads one bundle, a frame at a time.
+    Each identifier is looked up in its bundle, frame and place, and must be the one that stands there. A response's digest is
+    computed anew from its payload and must be the one it states; a revisit's size
+    and digest are those its headers state. A bundle's records are read by one task, each frame once.
     """
 
     def page_of(urn: str) -> int | None:
@@ -235,33 +248,39 @@ def read_bundles(index: DataFrame) -> DataFrame:
         return None if named == "none" else int(named)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, bundle, frame, data = None, None, None, b""
         for batch in batches:
-            for name in batch.column("bundle").to_pylist():
-                reader = BundleReader(name)
-                for n in range(len(reader)):
-                    data, at, rows = reader.frame(n), 0, []
-                    while at < len(data):
-                        headers, block, at = parse(data, at)
-                        http, _, payload = block.partition(b"\r\n\r\n")
-                        stated = headers["WARC-Payload-Digest"].removeprefix("sha1:")
-                        size = int(http.rpartition(b"Content-Length: ")[2])
-                        if headers["WARC-Type"] == "response" and (len(payload), bare_digest(payload)) != (size, stated):
-                            raise ValueError(f"a damaged payload in frame {n} of {name}")
-                        refers = headers.get("WARC-Refers-To")
-                        page = page_of(headers["WARC-Record-ID"].strip("<>"))
-                        rows.append((page, size, stated, headers["WARC-Type"], page_of(refers.strip("<>")) if refers else None))
-                    yield pa.RecordBatch.from_pylist([dict(zip(out.names, r, strict=True)) for r in rows], schema=out)
-                reader.close()
+            rows = []
+            for wanted, name, n, at in zip(*(batch.column(c).to_pylist() for c in ("record_id", "bundle", "frame", "offset")), strict=True):
+                if name != bundle:
+                    if reader is not None:
+                        reader.close()
+                    reader, bundle, frame = BundleReader(name), name, None
+                if n != frame:
+                    frame, data = n, reader.frame(n)
+                headers, block, _ = parse(data, at)
+                http, _, payload = block.partition(b"\r\n\r\n")
+                stated = headers["WARC-Payload-Digest"].removeprefix("sha1:")
+                size = int(http.rpartition(b"Content-Length: ")[2])
+                found = headers["WARC-Record-ID"].strip("<>")
+                if found != wanted:
+                    raise ValueError(f"{found} in the place of {wanted} in frame {n} of {name}")
+                if headers["WARC-Type"] == "response" and (len(payload), bare_digest(payload)) != (size, stated):
+                    raise ValueError(f"a damaged payload in frame {n} of {name}")
+                refers = headers.get("WARC-Refers-To")
+                rows.append((found, page_of(found), size, stated, headers["WARC-Type"], page_of(refers.strip("<>")) if refers else None))
+            yield pa.RecordBatch.from_pylist([dict(zip(out.names, r, strict=True)) for r in rows], schema=out)
+        if reader is not None:
+            reader.close()
 
     out = pa.schema(
-        [("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string())]
+        [("record_id", pa.string()), ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string())]
         + [("record_type", pa.string()), ("refers_to", pa.int64())]
     )
-    bundles = index.select("bundle").distinct()
-    n = max(1, bundles.count())
-    schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    # A task per bundle. Dealt by name it would count as the partitioning of distinct(), whose few bytes go to one task.
-    return bundles.repartition(n).mapInArrow(run, schema)
+    places = index.select("record_id", "bundle", "frame", "offset")
+    n = max(1, places.select("bundle").distinct().count())
+    schema = "record_id string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+    return places.repartition(n, "bundle").sortWithinPartitions("bundle", "frame", "offset").mapInArrow(run, schema)
 
 
 def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
@@ -272,9 +291,8 @@ def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
 # `round_trip` over the table pages; base32 from five hexadecimal digits at a time.
 SQL = """
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
-t AS (SELECT *, first(page_id) OVER w AS top_id, first(url) OVER w AS top_url, count(*) OVER (PARTITION BY h) AS n
-      FROM p WINDOW w AS (PARTITION BY h ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST)),
-r AS (SELECT *, n > 1 AND (page_id IS DISTINCT FROM top_id OR url IS DISTINCT FROM top_url) AS revisit FROM t)
+r AS (SELECT *, first(page_id) OVER w AS top_id, row_number() OVER w > 1 AS revisit
+      FROM p WINDOW w AS (PARTITION BY h ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST))
 SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
        array_to_string(list_transform(range(32), lambda i:
            substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',

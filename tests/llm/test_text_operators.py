@@ -1,8 +1,10 @@
 """The text operators against SQL or plain code, on the given tables and on untidy and empty ones."""
 
+import hashlib
 import os
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import connect, difference
-from millrace.llm import decisions, maglev, mixing, pieces, records, simhash, subwords, warc
+from millrace.llm import decisions, dualtree, maglev, mixing, phrases, pieces, records, simhash, subwords, suffixes, warc
 from millrace.llm.common import label_sample, sampled_texts
 from millrace.llm.queries import MIXTURE, PIECES, QUERIES, SQL, TOKENS
 
@@ -46,13 +48,19 @@ def untidy(folder, empty=False):
     }
     vectors = [[0.1, -0.5, 0.25], [0.1, -0.5, 0.25], None, [float("nan"), 1, 1], [None, 1, 2], [float("inf"), 0, 0], [-0.3, 0.0, 2.0]]
     vectors += [[((i * 7) % 5 - 2) / 3, ((i * 3) % 7 - 3) / 2, 0.5] for i in range(120)]
-    embeddings = {"vec_id": pa.array([None, 0, *range(2, len(vectors))], pa.int64()), "embedding": pa.array(vectors, pa.list_(pa.float32()))}
-    html = [None, "", "", "<p>a</p>", "<p>a</p>", "<p>a</p>", "é" * 3_000_000, "b"]
-    pages = {"page_id": pa.array([None, 1, 2, 3, 9, 9, 11, 12], pa.int64()), "url": pa.array([None, "u v", "http://é", "a", "b", "c", "d", "e"]), "html": pa.array(html), "payload": pa.array(["?"] * 8)}
-    for name, columns in {"documents": docs, "labels": labels, "embeddings": embeddings, "pages": pages}.items():
+    vectors += [[1.0, -1.0, 0.5], [1.0, -1.0, 0.5], [-1.0, 0.25, 0.75]]
+    repeated = [50, 50, 50]
+    embeddings = {"vec_id": pa.array([None, 0, *range(2, len(vectors) - 3), *repeated], pa.int64()), "embedding": pa.array(vectors, pa.list_(pa.float32()))}
+    html = [None, "", "", "<p>a</p>", "<p>a</p>", "<p>a</p>", "é" * 3_000_000, "b", *["<p>a</p>"] * 3, "same", "same"]
+    page = [None, 1, 2, 3, 9, 9, 11, 12, 9, 9, 3, None, None]
+    urls = [None, "u v", "http://é", "a", "b", "c", "d", "e", "c", "c", "a", None, None]
+    pages = {"page_id": pa.array(page, pa.int64()), "url": pa.array(urls), "html": pa.array(html), "payload": pa.array(["?"] * len(html))}
+    asked = [None, "", "word1 Thing2 word1", "word1 Thing2 word1", base[:300], "one two", "line HERE é漢", "nothing known", "long x"]
+    benchmark = {"item_id": pa.array([1, 2, 3, 3, None, 5, 6, 7, 8], pa.int64()), "text": pa.array(asked), "score": pa.array(["?"] * len(asked))}
+    for name, columns in {"documents": docs, "labels": labels, "embeddings": embeddings, "pages": pages, "benchmark": benchmark}.items():
         made = pa.table(columns)
         pq.write_table(made.slice(0, 0) if empty else made, f"{folder}/{name}.parquet")
-    for name in ("benchmark", "conversations", "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
+    for name in ("conversations", "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
         pq.write_table(pa.table({"a": pa.array([], pa.int64())}), f"{folder}/{name}.parquet")
     return str(folder)
 
@@ -231,6 +239,147 @@ def test_misspelt_words_share_vectors():
     assert len(a & b) > 5 and len(a & c) == 0
 
 
+def test_scores_as_plain_code(spark):
+    """Each score is the softmax of the mean of all subword vectors, for a model that chance made."""
+    rng, model = np.random.default_rng(3), subwords.Model()
+    model.table, model.out, model.bias = rng.normal(size=model.table.shape), rng.normal(size=model.out.shape), rng.normal(size=2)
+    texts = [None, "", "One two, one THREE!", "x" * 300, "é漢 é漢 \n #!", "a " * 500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in subwords.scored(docs, model).collect()}
+    for i, text in enumerate(texts):
+        vectors = [model.table[b] for w in (text or "").lower().split() for b in subwords.subwords([w.strip(subwords.EDGES)])[0]]
+        z = (np.mean(vectors, axis=0) if vectors else np.zeros(subwords.DIM)) @ model.out + model.bias
+        assert abs(got[i] - 1 / (1 + np.exp(z[0] - z[1]))) < 1e-9
+
+
+def test_misspelt_toxic_documents_still_score_high(spark):
+    """Spellings that no document of the table has, in the place of words that only toxic ones have."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    toxic = docs.join(labels.where("toxic = 1"), "doc_id").where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1)
+    other = {"idiot": "idiiot", "worthless": "worthlesss", "pathetic": "pathettic", "disgusting": "dissgusting", "stupid": "stuupid"}
+    other |= {"moron": "moronn", "loser": "looser", "trash": "trrash", "scum": "sscum", "clown": "clownn"}
+    assert docs.where(F.lower("text").rlike("|".join(other.values()))).isEmpty()
+    text = F.col("text")
+    for word, wrong in other.items():
+        text = F.regexp_replace(text, f"(?i){word}", wrong)
+    model = subwords.train(docs, labels)
+    changed = toxic.where(F.lower("text").rlike("|".join(other)))
+    share = subwords.scored(changed.withColumn("text", text), model).agg(F.avg("predicted"), F.count("*")).first()
+    assert share[1] >= 50 and share[0] >= 0.9
+
+
+def test_held_out_toxicity_of_the_larger_table(spark):
+    """The bars of `test_held_out_accuracy`, over 144 toxic held-out documents in place of 18."""
+    folder = "/root/testdata/sf0.1"
+    out = QUERIES["op8_subword_toxicity"](spark, folder).where("held_out").join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id")
+    got = [(r["score"], r["predicted"], r["toxic"]) for r in out.collect() if r["toxic"] is not None]
+    yes, no = (np.array([s for s, _, y in got if y == k]) for k in (1, 0))
+    area = np.mean((yes[:, None] > no) + 0.5 * (yes[:, None] == no))
+    right = np.mean([p == y for _, p, y in got])
+    assert len(yes) > 100 and area >= 0.95 and right >= 0.9, (area, right)
+
+
+def test_whole_documents_are_sampled_up_to_the_bound_of_pairs():
+    order = [(1, 0, 50), (2, 1, 60), (3, 0, 500), (4, 1, 10), (5, 1, 10), (6, 0, 10)]
+    assert subwords.chosen(order, 150) == [1, 2, 4, 6, 5] and subwords.chosen(order, 10_000) == [1, 2, 3, 4, 6, 5]
+
+
+def without_repeats(texts, least):
+    """Removed bytes, runs and hash of the rest, with every window of all texts counted."""
+    seen = Counter()
+    for t in texts:
+        seen.update(t[i : i + least] for i in range(len(t) - least + 1))
+    out = []
+    for t in texts:
+        covered = bytearray(len(t))
+        for i in range(len(t) - least + 1):
+            if seen[t[i : i + least]] > 1:
+                covered[i : i + least] = b"\1" * least
+        kept = bytes(x for x, c in zip(t, covered, strict=True) if not c)
+        out.append((len(t), sum(covered), len(re.findall(b"\1+", bytes(covered))), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def test_repeated_strings(spark, folder):
+    docs = documents(folder)
+    wanted = [(d["doc_id"], *x) for d, x in zip(docs, without_repeats([(d["text"] or "").encode() for d in docs], 200), strict=True)]
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert plain(QUERIES["op13_suffix_dedup"](spark, folder).select(*names).collect()) == plain(wanted)
+
+
+@pytest.mark.parametrize("crowd", [0, 3, 10_000])
+def test_repeated_strings_of_periodic_and_crowded_texts(spark, crowd):
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcd"), 5)) for _ in range(40)]
+    some = lambda n: " ".join(rng.choice(words, n))
+    passage = some(60)
+    texts = ["ab" * 300, "ab" * 99, some(50) * 3, "x" * 200, "x" * 199, some(90) + "\0" * 250, "\0" * 230, "", some(30) + "é漢" * 90 + some(30)]
+    texts += [some(int(rng.integers(1, 60))) + passage + some(int(rng.integers(1, 60))) for _ in range(40)]
+    texts += [texts[12]] * 3 + [texts[13][:150] + texts[14][150:]] + [passage[100:400], "é漢" * 60]
+    docs = spark.createDataFrame([(i // 2 or None, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    got = suffixes.without_repeats(docs, 200, crowd).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert plain(got) == plain((i // 2 or None, *x) for i, x in enumerate(without_repeats([t.encode() for t in texts], 200)))
+
+
+def test_suffix_order_gives_longest_previous_factors():
+    """The earlier and later matches, from the sorted suffixes themselves."""
+    rng = np.random.default_rng(2)
+    pieces_ = [bytes(rng.choice(list(b"ab\0"), int(n))) for n in rng.integers(1, 60, 30)] + [b"ab" * 30]
+    data, ends = np.frombuffer(b"".join(pieces_), np.uint8), np.r_[0, np.cumsum([len(p) for p in pieces_])]
+    for least in (9, 12, 16, 21):
+        earlier, later = suffixes.previous_factors(data, ends, least)
+        places = {}
+        for k, p in enumerate(pieces_):
+            for i in range(len(p) - least + 1):
+                places.setdefault(p[i : i + least], []).append(int(ends[k]) + i)
+        for at in places.values():
+            assert earlier[at].tolist() == [-1, *at[:-1]] and later[at].tolist() == [*at[1:], -1]
+        assert (earlier >= 0).sum() == sum(len(at) - 1 for at in places.values())
+
+
+def test_phrases_without_ranks_are_counted_all_the_same(spark):
+    """With places for 20 ranks only, most phrases go by their hashes; the rows stay the same."""
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    few, many = (phrases.collocations(docs, least=30, head=head).collect() for head in (20, phrases.HEAD))
+    assert len(many) > 500 and plain(few) == plain(many)
+
+
+def test_tiles_cover_the_plane_of_ranks():
+    assert phrases.EDGES[0] == 0 and phrases.EDGES[-1] == phrases.HEAD and (phrases.SIDES > 0).all()
+    assert phrases.SIDES.max() ** 2 < 1 << 32 and phrases.SIDES[0] == 64
+
+
+def test_dual_tree_drops_pairs_and_loses_none(spark):
+    """Over one shard, the best documents are those of scoring every pair, and few pairs of leaves are scored."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"t{x}" for x in np.r_[rng.zipf(1.3, 30) % 900, [1000 + i // 3] * (i % 4)]) for i in range(2000)]
+    asked = [" ".join(f"t{x}" for x in [1, 2, 3, 1000 + 7 * j, 1001 + 7 * j]) for j in range(60)]
+    items = dualtree.Items(asked)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = dualtree.matched(docs, items).toArrow().combine_chunks()
+    df = dualtree.document_counts(dualtree.matched(docs, items), len(items.vocabulary))
+    weight = np.floor(1000 * np.log((2 * 2000 + 2) / (2 * df + 1)))
+    ends = np.r_[0, np.cumsum([len(x) // 4 for x in found.column("terms").to_pylist()])]
+    term, tf = (np.frombuffer(b"".join(found.column(c).to_pylist()), "<i4").astype(np.int64) for c in ("terms", "tf"))
+    impact = (1_000_000_000 * tf) // (1000 * tf + 2000)
+    tree, best = dualtree.ItemTree(items, weight), dualtree.Best(60, 5, np.zeros(60))
+    ids = np.asarray(found.column("doc_id"))
+    pairs, scored = dualtree.search_shard(tree, ids, ends, term, impact, best)
+    dense = np.zeros((len(ids), len(weight)))
+    dense[np.repeat(np.arange(len(ids)), np.diff(ends)), term] = impact
+    for j, terms in enumerate(items.terms):
+        score = dense[:, terms] @ weight[terms]
+        order = np.lexsort((ids, -score))[:5]
+        assert best.score[j].tolist() == score[order].tolist() and best.id[j].tolist() == ids[order].tolist()
+    assert scored < pairs / 2
+
+
+def test_items_come_in_blocks(spark):
+    docs, items = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "benchmark"))
+    assert plain(dualtree.search(docs, items, block=7).collect()) == plain(dualtree.search(docs, items).collect())
+
+
 def test_token_records(spark, folder):
     from tokenizers import Tokenizer
 
@@ -265,6 +414,19 @@ def test_records_by_place(spark, tmp_path):
         assert payload == (b"" if r["record_type"] == "revisit" else f"<p>{r['page_id'] % 7}</p>".encode() * 99)
 
 
+def test_equal_pages_are_one_response_and_have_identifiers_of_their_own(spark, tmp_path):
+    rows = [(7, "u", "<p>a</p>")] * 40 + [(3, "v", "<p>a</p>")] * 2 + [(1, "w", "other")]
+    index = warc.write_bundles(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5), f"file://{tmp_path}/e")
+    assert index.select("record_id").distinct().count() == len(rows)
+    back = warc.read_bundles(index)
+    kinds = {(r["page_id"], r["record_type"]): r["count"] for r in back.groupBy("page_id", "record_type").count().collect()}
+    assert kinds == {(7, "response"): 1, (7, "revisit"): 39, (3, "revisit"): 2, (1, "response"): 1}
+    assert back.join(index, ["record_id", "page_id", "record_type", "payload_digest"]).count() == len(rows)
+    wrong = index.withColumn("offset", F.when(F.col("page_id") == 1, 0).otherwise(F.col("offset"))).withColumn("record_id", F.concat("record_id", F.lit("x")))
+    with pytest.raises(Exception, match="in the place of"):
+        warc.read_bundles(wrong).collect()
+
+
 def test_pieces_are_lossless_and_do_not_hang_on_partitions(spark, folder):
     out = QUERIES["op10_sampled_pieces"](spark, folder)
     assert out.where("not lossless").isEmpty() and out.count() == len(documents(folder))
