@@ -107,11 +107,11 @@ def curated_tables(lake: Lake) -> dict[str, DataFrame]:
 def land(lake: Lake, batch: Batch, feed: Feed, rows: DataFrame, batch_ts: dt.datetime) -> tuple[str, dict[str, int]]:
     """Write landing rows, refused ones flagged, parsing the files once.
 
-    The per-file report is read back from two columns of the written part.
+    The per-file report is read back from three columns of the written part.
     """
     refused = F.count_if(F.col("_reject").isNotNull()).alias("rows_rejected")
     path, counts = lake.write(batch, raw_table(feed), files.flag_rejects(rows, feed), counters=[refused])
-    written = lake.read_paths([path], "source_file_name string, _reject string")
+    written = lake.read_paths([path], "source_file_name string, _reject string, _line bigint")
     lake.write(batch, f"{LOADS}/{feed.name}", files.load_report(written, feed, batch_ts).coalesce(1))
     return path, counts
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
 from millrace.feeds import Feed
+from millrace.sources.records import BLANKS, file_records, from_files, parsed
 
 Reader = TypeVar("Reader", DataFrameReader, DataStreamReader)
 
@@ -21,15 +22,14 @@ NULL_TOKENS = ("", "NULL", "null", "NA")
 
 CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "enforceSchema": "true"}
 
-# The parser gives the text of a record, `_raw`, only if its fields are not as many as the columns. With these
-# columns beyond the feed's, that is every record but one of exactly so many surplus fields.
+# The parser of streamed rows gives the text of a record, `_raw`, only if its fields are not as many as the columns. With these
+# columns beyond the feed's, that is every record but one of exactly so many surplus fields. Batches are read by `records`.
 PAST = [f"_past{i}" for i in range(7)]
 UNCLOSED, BEHIND = "malformed: a quote is not closed", "malformed: text behind a closing quote"
-BLANKS = "".join(map(chr, range(33)))  # what the parser skips between a closing quote and a delimiter
 
 LOAD_SCHEMA = (
     "feed_name string, source_file_name string, rows_parsed bigint, rows_loaded bigint, "
-    "errors_seen bigint, first_error string, loaded_at timestamp_ntz"
+    "errors_seen bigint, first_error string, first_error_line bigint, loaded_at timestamp_ntz"
 )
 
 
@@ -54,7 +54,7 @@ def not_blank(records: DataFrame) -> DataFrame:
     return records.where((F.btrim(first, F.lit(BLANKS)) != "") | F.coalesce(F.btrim("_raw", F.lit(BLANKS)) != "", F.lit(True)))
 
 
-def malformed(feed: Feed) -> Column:
+def malformed() -> Column:
     """What is wrong with the quotes of a record; null if nothing is. The numbers of its fields do not matter.
 
     A quote opens a value only as its first character. The text is cut at the quotes; the state says where a piece
@@ -76,10 +76,13 @@ def malformed(feed: Feed) -> Column:
     rest = F.ltrim(F.element_at(pieces, -1), F.lit(BLANKS))
     end = F.when((state == 2) & (rest != "") & ~rest.startswith(","), 3).otherwise(state)
     reasons = F.element_at(F.array(F.lit(UNCLOSED), F.lit(None), F.lit(BEHIND)), F.nullif(end, F.lit(0)))
-    # Without the text, a value that may come of broken quotes is taken for one.
+    return F.when(F.col("_raw").contains('"'), reasons)
+
+
+def unseen(feed: Feed) -> Column:
+    """Of a streamed record without its text, a value that may come of broken quotes is taken for one."""
     odd = [F.coalesce(F.col(c).startswith('"') | F.col(c).contains("\n"), F.lit(False)) for c in [*feed.columns, *PAST]]
-    unseen = F.when(F.col("_raw").isNull() & reduce(lambda a, b: a | b, odd), F.lit(BEHIND))
-    return F.when(F.col("_raw").contains('"'), reasons).otherwise(unseen)
+    return F.when(F.col("_raw").isNull() & reduce(lambda a, b: a | b, odd), F.lit(BEHIND))
 
 
 def landing_rows(lines: DataFrame, feed: Feed, load_ts: Column) -> DataFrame:
@@ -89,7 +92,8 @@ def landing_rows(lines: DataFrame, feed: Feed, load_ts: Column) -> DataFrame:
     if "_raw" in lines.columns:
         kept.append("_malformed")
         lines = not_blank(lines)
-        lines = lines.select(*[without_return(c).alias(c) for c in feed.columns], provenance, malformed(feed).alias("_malformed"))
+        broken = F.coalesce(malformed(), unseen(feed)).alias("_malformed")
+        lines = lines.select(*[without_return(c).alias(c) for c in feed.columns], provenance, broken)
     else:
         lines = lines.select(*feed.columns, provenance)
     columns = [blank_to_null(c).alias(c) for c in feed.columns]
@@ -103,6 +107,17 @@ def without_return(c: str) -> Column:
     return F.when(value.endswith("\r") & F.col("_raw").endswith(cut), cut).otherwise(value)
 
 
+def feed_rows(lines: DataFrame, feed: Feed, load_ts: Column) -> DataFrame:
+    """Landing rows from lines as `records.from_files` gives them, with `_malformed` and `_line`, where the record begins in its file."""
+    rows = parsed(file_records(lines), feed.columns)
+    columns = [blank_to_null(c).alias(c) for c in feed.columns]
+    return rows.select(*columns, "source_file_name", load_ts.cast("timestamp_ntz").alias("_load_ts"), malformed().alias("_malformed"), "_line")
+
+
+def text_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    return from_files(spark.read.option("lineSep", "\n").text(paths if isinstance(paths, str) else list(paths)))
+
+
 def read_feed(
     spark: SparkSession,
     feed: Feed,
@@ -112,10 +127,12 @@ def read_feed(
 ) -> DataFrame:
     """Delimited files by position into the feed's columns, every one a string, and `_malformed`.
 
-    Short rows end in nulls and surplus fields are dropped. Line breaks inside quotes belong to the value, and a
-    file is read by one task; with `multiline=False`, by default the feed's, plain files are split between tasks.
+    Short rows end in nulls and surplus fields are dropped. Line breaks inside quotes belong to the value, and plain
+    files are split between tasks all the same; `_line` is where a record begins. With `multiline=False`, by default the feed's, each line is a record.
     """
-    lines = for_feed(spark.read, feed, multiline).csv(paths if isinstance(paths, str) else list(paths))
+    if feed.multiline if multiline is None else multiline:
+        return feed_rows(text_lines(spark, paths), feed, F.lit(load_ts))
+    lines = for_feed(spark.read, feed, False).csv(paths if isinstance(paths, str) else list(paths))
     return landing_rows(lines, feed, F.lit(load_ts))
 
 
@@ -145,11 +162,13 @@ def reject_reason(feed: Feed) -> Column:
 
 
 def flag_rejects(rows: DataFrame, feed: Feed) -> DataFrame:
-    """`rows` with `_reject`; what was found wrong when the line was parsed comes first."""
+    """`rows` with `_reject`, and `_line` as the last column (null without one); what was found wrong when the line was parsed comes first."""
+    line = F.col("_line") if "_line" in rows.columns else F.lit(None).cast("bigint")
+    rows = rows.withColumn("_at_line", line).drop("_line").withColumnRenamed("_at_line", "_line")
     reason = reject_reason(feed)
-    if "_malformed" not in rows.columns:
-        return rows.withColumn("_reject", reason)
-    return rows.withColumn("_reject", F.coalesce("_malformed", reason)).drop("_malformed")
+    if "_malformed" in rows.columns:
+        reason = F.coalesce("_malformed", reason)
+    return rows.withColumn("_reject", reason).select(*[c for c in rows.columns if c not in ("_malformed", "_line")], "_reject", "_line")
 
 
 def good_rows(rows: DataFrame, feed: Feed) -> DataFrame:
@@ -159,7 +178,7 @@ def good_rows(rows: DataFrame, feed: Feed) -> DataFrame:
         rows = rows.where(F.col("_malformed").isNull()).drop("_malformed")
     for f in feed.fields:
         rows = rows.where(F.col(f.name).isNull() | (F.length(f.name) <= f.width))
-    return rows
+    return rows.drop("_line")
 
 
 def split_rejects(rows: DataFrame, feed: Feed) -> tuple[DataFrame, DataFrame]:
@@ -168,16 +187,22 @@ def split_rejects(rows: DataFrame, feed: Feed) -> tuple[DataFrame, DataFrame]:
 
 
 def load_report(flagged: DataFrame, feed: Feed, load_ts: dt.datetime) -> DataFrame:
-    """Per file: rows parsed, loaded and refused, and the first reason in text order."""
+    """Per file: rows parsed, loaded and refused, and the first refused line's reason and number.
+
+    Without line numbers the reasons go by their text.
+    """
     refused = F.col("_reject").isNotNull()
+    first = F.min(F.when(refused, F.struct(F.coalesce("_line", F.lit(0)).alias("at"), "_reject", "_line")))
     return (
         flagged.groupBy("source_file_name")
         .agg(
             F.count(F.lit(1)).alias("rows_parsed"),
             F.count_if(~refused).alias("rows_loaded"),
             F.count_if(refused).alias("errors_seen"),
-            F.min("_reject").alias("first_error"),
+            first.alias("_first"),
         )
+        .withColumns({"first_error": F.col("_first._reject"), "first_error_line": F.col("_first._line")})
+        .drop("_first")
         .select(F.lit(feed.name).alias("feed_name"), "*", F.lit(load_ts).cast("timestamp_ntz").alias("loaded_at"))
     )
 
@@ -223,9 +248,11 @@ def source_file_counts(spark: SparkSession, feed: Feed, paths: str | Sequence[st
     """Data lines per file, counted in the files themselves; all files in one scan."""
 
     def read() -> DataFrame:
-        lines = for_feed(spark.read, feed).csv(paths if isinstance(paths, str) else list(paths))
-        return not_blank(lines).groupBy(F.col("_metadata.file_path").alias("source_file_name")).agg(
-            F.count(F.lit(1)).alias("source_row_count")
-        )
+        if feed.multiline:
+            records = file_records(text_lines(spark, paths))
+        else:
+            lines = for_feed(spark.read, feed).csv(paths if isinstance(paths, str) else list(paths))
+            records = not_blank(lines).select(F.col("_metadata.file_path").alias("source_file_name"))
+        return records.groupBy("source_file_name").agg(F.count(F.lit(1)).alias("source_row_count"))
 
     return _empty_if_missing(spark, read, "source_file_name string, source_row_count bigint")

@@ -20,12 +20,19 @@ from millrace.operators.changes import has_changes
 from millrace.operators.staging import stage_rows
 from millrace.operators.merge import SMALL_ROWS
 from millrace.plans.layers import as_inserts, curate, land, raw_table, stage
-from millrace.sources.files import for_feed, good_rows, landing_rows
+from millrace.sources.files import feed_rows, for_feed, good_rows, landing_rows
+from millrace.sources.records import from_files
 from millrace.sources.tables import Lake
 
 
+def stream_lines(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+    """Lines of new files, with their places and the time of the micro-batch; each file is split between tasks."""
+    reader = spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", files_per_batch)
+    return from_files(reader.text(folder)).withColumn("_load_ts", F.current_timestamp().cast("timestamp_ntz"))
+
+
 def stream_feed_files(spark: SparkSession, feed: Feed, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    """New files of a folder as landing rows; all rows of a micro-batch share its time."""
+    """New files of a folder as landing rows that stay a stream; all rows of a micro-batch share its time. One task reads a file."""
     lines = for_feed(spark.readStream, feed).option("maxFilesPerTrigger", files_per_batch).csv(folder)
     return landing_rows(lines, feed, F.current_timestamp())
 
@@ -33,13 +40,10 @@ def stream_feed_files(spark: SparkSession, feed: Feed, folder: str, files_per_ba
 def stream_raw(lake: Lake, feed: Feed, folder: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Each file lands in RAW exactly once."""
 
-    def take(rows: DataFrame, batch_id: str) -> None:
-        lake.refresh()
-        at = None if batch_id in lake.batches(raw_table(feed)) else _batch_time(rows)
-        if at is not None:
-            batch = lake.begin(batch_id)
-            land(lake, batch, feed, rows, at)
-            lake.commit(batch, at)
+    def take(rows: DataFrame, at: dt.datetime, batch_id: str) -> None:
+        batch = lake.begin(batch_id)
+        land(lake, batch, feed, rows, at)
+        lake.commit(batch, at)
 
     return _start(lake, feed, folder, take, checkpoint, trigger)
 
@@ -53,11 +57,7 @@ def stream_to_target(
     The insert-only feed keeps one row per key; a key that comes late is just a new key.
     """
 
-    def take(rows: DataFrame, batch_id: str) -> None:
-        lake.refresh()
-        at = None if batch_id in lake.batches(raw_table(feed)) else _batch_time(rows)
-        if at is None:
-            return
+    def take(rows: DataFrame, at: dt.datetime, batch_id: str) -> None:
         batch = lake.begin(batch_id)
         raw_path, counts = land(lake, batch, feed, rows, at)
         raw = lake.read_paths([raw_path], f"{feed.raw_schema}, _reject string").where("_reject IS NULL").drop("_reject")
@@ -93,17 +93,26 @@ def _batch_time(rows: DataFrame) -> dt.datetime | None:
 
 
 def _start(
-    lake: Lake, feed: Feed, folder: str, take: Callable[[DataFrame, str], None], checkpoint: str, trigger: dict | None
+    lake: Lake,
+    feed: Feed,
+    folder: str,
+    take: Callable[[DataFrame, dt.datetime, str], None],
+    checkpoint: str,
+    trigger: dict | None,
 ) -> StreamingQuery:
     name = f"{feed.name}-{uuid.uuid4().hex}"
 
     def numbered(rows: DataFrame, number: int) -> None:
         stream = next(q.id for q in lake.spark.streams.active if q.name == name)
-        take(rows, f"stream-{feed.name}-{stream}-{number:09d}")
+        batch_id = f"stream-{feed.name}-{stream}-{number:09d}"
+        lake.refresh()
+        at = None if batch_id in lake.batches(raw_table(feed)) else _batch_time(rows)
+        if at is not None:
+            take(feed_rows(rows.drop("_load_ts"), feed, F.lit(at)) if feed.multiline else rows, at, batch_id)
 
+    source = stream_lines(lake.spark, folder) if feed.multiline else stream_feed_files(lake.spark, feed, folder)
     return (
-        stream_feed_files(lake.spark, feed, folder)
-        .writeStream.queryName(name)
+        source.writeStream.queryName(name)
         .foreachBatch(numbered)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))

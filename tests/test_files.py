@@ -109,3 +109,68 @@ def test_malformed_lines_are_refused_and_counted(spark, tmp_path, rows):
     by_line, refused = loaded_and_refused(spark, tmp_path, multiline=False)
     assert {r[0] for r in by_line} == {"T3", "T4", "T5", "T6", "T7", "T8", "T9", "T11", "T13"}
     assert {r[0] for r in refused} == {"T1", "T2", "T10", "T12"}
+
+
+def test_first_error_is_the_first_in_the_file(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text(HEAD + 'T1,N,1,2,3,A\n"T2\n",N,1,2,3,A\n\nT3,"x"y\n' + "T" * 21 + ",N\n" + 'T5,"a"b\n')
+    flagged = files.flag_rejects(files.read_feed(spark, TOWERS, str(tmp_path), AT), TOWERS)
+    assert rows(files.load_report(flagged, TOWERS, AT), "rows_parsed", "errors_seen", "first_error", "first_error_line") == [
+        (5, 3, files.BEHIND, 6)
+    ]
+
+
+def test_any_number_of_surplus_fields_loads(spark, tmp_path):
+    for n in range(12):
+        (tmp_path / f"{n}.csv").write_text(HEAD + f'T{n},"NOR\nTH",1,2,3,ACTIVE' + ",s" * n + "\n")
+    good, bad = loaded_and_refused(spark, tmp_path)
+    assert len(good) == 12 and not bad
+
+
+def reference_rows(spark, folder):
+    """The same files by Spark's own reader, a task per file, without surplus fields."""
+    options = dict(header=True, multiLine=True, lineSep="\n", quote='"', escape='"', mode="PERMISSIVE", enforceSchema=True)
+    got = spark.read.schema(", ".join(f"{c} string" for c in TOWERS.columns)).options(**options).csv(str(folder))
+    return sorted((tuple(None if v is None else v.removesuffix("\r") for v in r) for r in got.collect()), key=repr)
+
+
+@pytest.mark.parametrize("size", [64, 1000, 1 << 20])
+def test_quoted_files_split_anywhere_give_the_rows_of_whole_files(spark, tmp_path, size):
+    import random
+
+    dice = random.Random(size)
+    value = lambda: dice.choice(["a", "b c", "", '"x\ny"', '"p,q"', '"d""e"', '"\n\n"', '"l\r\nm"', '""', "r\"s", "NA", '"é\n漢"', '"' + "w\n" * 40 + '"'])
+    for name in ("a", "b", "c"):
+        lines = [",".join([f"{name}{i}", *[value() for _ in range(5)]]) for i in range(60)]
+        (tmp_path / f"{name}.csv").write_bytes((HEAD + "\n".join(lines) + "\n" * (name != "b")).encode())
+    (tmp_path / "plain.csv").write_text(HEAD + "\n".join(f"P{i},N,1,2,3,A" for i in range(99)))
+    (tmp_path / "head.csv").write_text('"tower\nid",region\n\nH1,N,1,2,3,A\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        lines = files.text_lines(spark, str(tmp_path))
+        assert lines.rdd.getNumPartitions() > (20 if size < 100 else 1 if size < 5000 else 0)
+        got = files.read_feed(spark, TOWERS, str(tmp_path), AT)
+        mine = sorted(tuple(r) for r in got.select(*TOWERS.columns).na.fill("").collect())
+        assert got.where("_malformed IS NOT NULL").isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    theirs = sorted(tuple("" if v in files.NULL_TOKENS or v is None else v for v in r) for r in reference_rows(spark, tmp_path))
+    assert mine == theirs
+
+
+def test_a_quote_left_open_gathers_no_more_than_the_longest_record(spark, tmp_path, monkeypatch):
+    from millrace.sources import records
+
+    monkeypatch.setattr(records, "LONGEST", 300)
+    (tmp_path / "a.csv").write_text(HEAD + 'T1,"' + "x\n" * 100 + '",1\nT2,"open\n' + "T3,N\n" * 500)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        raw = records.file_records(files.text_lines(spark, str(tmp_path))).select("_line", "_raw").collect()
+        good, bad = loaded_and_refused(spark, tmp_path)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted((r[0], len(r[1])) for r in raw) == [(2, 207), (103, len('T2,"open'))]
+    assert not good and bad == {("T1", "region is longer than 50: 200"), ("T2", files.UNCLOSED)}
