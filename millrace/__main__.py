@@ -19,11 +19,12 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--landing", help="folder with one folder of files per feed")
     parser.add_argument("--at", help="batch time as YYYY-MM-DDTHH:MM:SS; now when left out")
     parser.add_argument("--threads", type=int, default=4, help="feeds worked on at the same time")
+    parser.add_argument("--full-scan", action="store_true", help="validate all of RAW again, not what is new alone")
     args = parser.parse_args(argv)
 
     at = dt.datetime.fromisoformat(args.at) if args.at else dt.datetime.now().replace(microsecond=0)
     lake = Lake(build_session(), args.root)
-    outcomes = run_layers(lake, args.layer, at, args.landing, args.feeds, args.threads)
+    outcomes = run_layers(lake, args.layer, at, args.landing, args.feeds, args.threads, args.full_scan)
     outcomes.show(outcomes.count(), truncate=80)
     for report in day_report(lake, at.date()):
         report.show(report.count(), truncate=60)

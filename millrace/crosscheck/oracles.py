@@ -5,7 +5,7 @@ Written from the rules of each operation, without the library's operators.
 
 from __future__ import annotations
 
-from millrace.crosscheck.inputs import FIRST_LOAD, LINES, SECOND_LOAD, lines_sql, raw_sql, run_rows_sql
+from millrace.crosscheck.inputs import CHECKED_FEEDS, FIRST_LOAD, IDLE_CHECK, LINES, SECOND_LOAD, lines_sql, raw_sql, run_rows_sql
 from millrace.feeds import FEEDS, Feed
 from millrace.operators.governance import TAGS
 from millrace.operators.quality import Accepted, Matches, NotNull, Parses, Rule
@@ -348,12 +348,15 @@ def summary_sql(feed: Feed, where: str = "true", run_id: int = 7, at: str = CHEC
     )
 
 
-def errors_sql(feed: Feed, job: bool = True) -> str:
+def errors_sql(feed: Feed, job: bool = True, keep: tuple[str, ...] = ()) -> str:
+    """Error rows; `keep` are columns of the record added as they are, named raw_ and the column."""
+    kept = "".join(f", {c if c in feed.columns else 'NULL'} AS raw_{c}" for c in keep)
     return " UNION ALL ".join(
         f"SELECT {head(feed, job=job)}, '{r.rule_type}' AS rule_type, '{r.column}' AS column_name, {feed.key} AS record_key, "
         f"{r.column} AS failed_value, '{r.reason}' AS error_reason, source_file_name, "
         f"strftime(_load_ts, '%Y-%m-%d %H:%M:%S') AS load_ts, '{CHECKED}' AS logged_at"
-        f"{', false AS is_resolved' if job else ''} FROM raw_{feed.name} WHERE {broken_sql(r)}"
+        f"{', false AS is_resolved' if job else ''}{kept} "
+        f"FROM raw_{feed.name} WHERE {broken_sql(r)}"
         for r in feed.rules
     )
 
@@ -503,3 +506,36 @@ ORACLES["layers_dim_customer"] = with_feeds(
 )
 ORACLES["stream_customers_dim"] = with_feeds(("customers",), f"SELECT {shown_fields(_cust)}, is_current FROM t_customers")
 ORACLES["stream_raw_towers"] = with_feeds(("towers",), f"SELECT {', '.join(FEEDS['towers'].columns)} FROM raw_towers")
+# A key is numbered in the load it first comes in.
+_dev = FEEDS["devices"]
+ORACLES["layers_dim_device"] = with_feeds(
+    ("devices",),
+    f"SELECT row_number() OVER (ORDER BY device_id NOT IN (SELECT device_id FROM s1_devices), device_id) AS device_sk, {shown_fields(_dev)} FROM t_devices",
+)
+_LOADS = [("load = 1", FIRST_LOAD), ("load = 2", SECOND_LOAD), ("false", IDLE_CHECK)]
+_checked = [FEEDS[n] for n in CHECKED_FEEDS]
+ORACLES["layers_validation_errors"] = with_feeds(
+    CHECKED_FEEDS,
+    "SELECT job_name, feed_name, table_name, rule_type, column_name, record_key, failed_value, error_reason, load_ts, load_ts AS logged_at, "
+    "raw_region, raw_invoice_status FROM ("
+    + " UNION ALL ".join(
+        f"SELECT * FROM ({errors_sql(f, keep=('region', 'invoice_status'))})" for f in _checked
+    )
+    + ")",
+)
+ORACLES["layers_validation_summary"] = with_feeds(
+    CHECKED_FEEDS,
+    "SELECT * EXCLUDE (run_id) FROM ("
+    + " UNION ALL ".join(summary_sql(f, where, at=f"{at:%Y-%m-%d %H:%M:%S}") for f in _checked for where, at in _LOADS)
+    + ")",
+)
+ORACLES["layers_file_counts"] = with_feeds(
+    CHECKED_FEEDS,
+    " UNION ALL ".join(
+        f"SELECT '{f.name}' AS feed_name, '{at:%Y-%m-%d %H:%M:%S}' AS checked_at, "
+        f"CAST((SELECT count(*) FROM lines_{f.name} WHERE {where}) AS BIGINT) AS source_rows, "
+        f"CAST((SELECT count(*) FROM raw_{f.name} WHERE {where}) AS BIGINT) AS target_rows, CAST(0 AS BIGINT) AS files_with_more"
+        for f in _checked
+        for where, at in _LOADS[:2]
+    ),
+)

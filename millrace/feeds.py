@@ -43,6 +43,7 @@ class Feed:
     gate: tuple[str, ...] = ()  # a staging match counts only when one of these differs
     insert_only: bool = False
     month: str | None = None  # typed column whose month partitions the merged tables; no update changes it
+    buckets: int = 64  # of the key's hash, by which they are partitioned without a month
     multiline: bool = True  # values in quotes may hold line breaks; a file is then read by one task
 
     @property

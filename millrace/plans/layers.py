@@ -132,17 +132,23 @@ def stage(
     """
     rows = stage_rows(raw, feed)
     if feed.insert_only:
-        staged = read_stage(lake, feed)
+        staged = read_touched(lake, stage_table(feed), feed.stage_schema, feed, raw, small)
         if small:  # row groups of other keys are skipped by their statistics
             low, high = raw.agg(F.min(feed.key), F.max(feed.key)).first()
             staged = staged.where(F.col(feed.key).between(low, high))
         merged = merge_stage(staged, rows, feed, batch_ts, dedupe=dedupe, small=small)
-        path, counts = lake.write(batch, stage_table(feed), merged.drop("_op"))
+        path, counts = lake.write(batch, stage_table(feed), merged.drop("_op"), split_by=part_of(feed), rebalance=not small)
         return path, {"rows_inserted": counts["rows"], "rows_updated": 0}
     staged = read_touched(lake, stage_table(feed), feed.stage_schema, feed, cast_feed(raw, feed), small)
     merged = merge_stage(staged, rows, feed, batch_ts, small=small)
     path, counts = lake.write(
-        batch, stage_table(feed), merged, replaces=True, split_by=month_part(feed), counters=op_counters()
+        batch,
+        stage_table(feed),
+        merged,
+        replaces=True,
+        split_by=part_of(feed),
+        rebalance=not small or feed.month is not None,
+        counters=op_counters(),
     )
     written = lake.read_paths([path], f"{feed.stage_schema}, _op string").where("_op <> 'keep'")
     change_path, _ = lake.write(
@@ -157,31 +163,38 @@ def stage(
     return change_path, counts
 
 
-def month_part(feed: Feed) -> Column | None:
-    """The partition of a merged row: its month, `none` where that is no month."""
+def part_of(feed: Feed) -> Column:
+    """The partition of a merged row: its month (`none` where that is no month), or without one a bucket of its key's hash."""
     if feed.month is None:
-        return None
+        return F.format_string("k%04d", F.pmod(F.xxhash64(feed.key), F.lit(feed.buckets)))
     kinds = {f.name: f.kind for f in feed.fields}
     month = F.col(feed.month) if kinds[feed.month] == "string" else month_of(feed.month)
     return F.when(month.rlike(quality.YEAR_MONTH), month).otherwise("none")
 
 
-def read_touched(lake: Lake, table: str, schema: str, feed: Feed, rows: DataFrame, small: bool) -> DataFrame:
-    """The part of a table a merge of `rows` can change.
+def touched_parts(lake: Lake, table: str, schema: str, feed: Feed, rows: DataFrame, small: bool) -> set[str] | None:
+    """The partitions of a table that a merge of `rows` can change; None for any.
 
-    For tables partitioned by month that is the months of rows whose key comes in, and
+    A key's bucket follows from the key, so for bucketed tables the batch alone is looked at; a large one touches them all.
+    For tables partitioned by month they are the months of rows whose key comes in, and
     the months of the incoming rows; the list of months is all that reaches the driver.
     Only keys and months are read to find them.
     """
-    part = month_part(feed)
-    if part is None:
-        return lake.read(table, schema)
-    keys = rows.select(feed.key)
+    part = part_of(feed).alias("part")
+    keys = rows.where(F.col(feed.key).isNotNull())
+    if feed.month is None:
+        return {row[0] for row in keys.select(part).distinct().collect()} if small else None
+    keys = keys.select(feed.key)
     if small:
         keys = F.broadcast(keys)
-    matched = lake.read(table, schema).select(feed.key, part.alias("part")).join(keys, feed.key, "left_semi")
-    months = matched.select("part").unionByName(rows.select(part.alias("part"))).distinct()
-    return lake.read(table, schema, only={row[0] for row in months.collect()})
+    matched = lake.read(table, schema).select(feed.key, part).join(keys, feed.key, "left_semi")
+    months = matched.select("part").unionByName(rows.select(part)).distinct()
+    return {row[0] for row in months.collect()}
+
+
+def read_touched(lake: Lake, table: str, schema: str, feed: Feed, rows: DataFrame, small: bool) -> DataFrame:
+    """The part of a table a merge of `rows` can change."""
+    return lake.read(table, schema, only=touched_parts(lake, table, schema, feed, rows, small))
 
 
 def read_changes(lake: Lake, feed: Feed, after: str | None = None, until: str | None = None) -> DataFrame:
@@ -215,7 +228,7 @@ def curate(
 
     if feed.target.surrogate:
         sk = feed.target.surrogate
-        target = read_target(lake, feed)
+        target = read_touched(lake, target_table(feed), feed.target_schema, feed, changes, small)
         rows = target_rows(changes, feed)
         fresh = insert_absent(target, rows, [feed.key], small=small).select(feed.key)
         last = int(lake.noted(f"highest/{sk}") or 0)
@@ -229,14 +242,16 @@ def curate(
             batch_ts=batch_ts,
             small=small,
         )
-        _, counts = lake.write(batch, target_table(feed), merged, replaces=True, counters=op_counters())
+        _, counts = lake.write(
+            batch, target_table(feed), merged, replaces=True, split_by=part_of(feed), rebalance=not small, counters=op_counters()
+        )
         batch.note(f"highest/{sk}", str(last + counts["rows_inserted"]))
         return counts
 
     target = read_touched(lake, target_table(feed), feed.target_schema, feed, changes.select(*feed.columns), small)
     merged = merge_target(target, changes, feed, batch_ts, small=small)
     _, counts = lake.write(
-        batch, target_table(feed), merged, replaces=True, split_by=month_part(feed), counters=op_counters()
+        batch, target_table(feed), merged, replaces=True, split_by=part_of(feed), counters=op_counters()
     )
     return counts
 
@@ -244,21 +259,23 @@ def curate(
 def _curate_history(
     lake: Lake, batch: Batch, feed: Feed, changes: DataFrame, batch_ts: dt.datetime, small: bool
 ) -> dict[str, int]:
-    """Rewrite the current versions, add the ended ones to history; older history is not read.
+    """Rewrite the current versions in the buckets of changed keys, add the ended ones to history; older history is not read.
 
     Both come out of one pass, split by folder.
     """
     sk = feed.target.surrogate
-    current = lake.read(DIM_CURRENT, feed.target_schema)
+    touched = touched_parts(lake, DIM_CURRENT, feed.target_schema, feed, changes, small)
+    current = lake.read(DIM_CURRENT, feed.target_schema, only=touched)
     last = int(lake.noted(f"highest/{sk}") or 0)
     opened = assign_keys(open_versions(changes, feed.key, feed.columns, batch_ts), sk, last, feed.key)
     ended = end_versions(current, changes, feed.key, batch_ts, small=small)
-    versions = ended.unionByName(opened).withColumn("_open", F.col("is_current"))
+    versions = ended.unionByName(opened).withColumn("_open", F.col("is_current")).withColumn("_part", part_of(feed))
     path, counts = lake.write(
         batch,
         "curated/dim_customer_versions",
         versions,
-        partition_by=["_open"],
+        rebalance_by=[] if small else ["_part"],
+        partition_by=["_open", "_part"],
         counters=[
             F.count_if("is_current").alias("current"),
             F.count_if(F.col("eff_start_ts") == F.lit(batch_ts).cast("timestamp_ntz")).alias("opened"),
@@ -266,7 +283,10 @@ def _curate_history(
         ],
         register=False,
     )
-    batch.parts.append(Part(DIM_CURRENT, True, None, f"{path}/_open=true", counts["current"]))
+    live = lake.part_counts(f"{path}/_open=true") if counts["current"] else {}
+    # A bucket that is left without a current version is replaced by nothing.
+    for part in sorted(live.keys() | (touched if touched is not None else lake.part_names(DIM_CURRENT))):
+        batch.parts.append(Part(DIM_CURRENT, True, part, f"{path}/_open=true/_part={part}", live.get(part, 0)))
     batch.parts.append(Part(DIM_HISTORY, False, None, f"{path}/_open=false", counts["closed"]))
     batch.note(f"highest/{sk}", str(last + counts["opened"]))
     return {"rows_inserted": counts["opened"], "rows_updated": counts["closed"]}
@@ -355,7 +375,7 @@ def run_raw(lake: Lake, landing: str, feeds: Iterable[Feed], batch_ts: dt.dateti
         spark = lake.spark
         history = lake.read(f"{LOADS}/{feed.name}", files.LOAD_SCHEMA)
         new = files.unseen_files(files.list_files(spark, f"{landing}/{feed.name}"), history)
-        paths = [row[0] for row in new.collect()]  # file names only
+        paths = [row.path for row in new.collect()]  # file names only
         if not paths:
             return {"comments": "no new files"}
         batch = lake.begin(_feed_batch(run.batch_id, feed))
@@ -384,9 +404,12 @@ def run_validate(
     since: dt.datetime | None = None,
     count_summary: bool = False,
     threads: int = 4,
+    full_scan: bool = False,
 ) -> list[tuple]:
-    """Check RAW, one scan for all rules of a feed: errors are written, counts observed.
+    """Check what RAW gained since the last check, one scan for all rules of a feed: errors are written, counts observed.
 
+    How far a feed is checked is published with its errors, so a row's errors are stored once; nothing new is
+    nothing read, and gives a summary of zero rows. `full_scan` or `since` check all rows, or all loaded after that time, again.
     With `landing`, row counts per file are compared with the files; `count_summary`
     adds that comparison to the rule summary.
     """
@@ -395,16 +418,25 @@ def run_validate(
     def check(feed: Feed, run_id: int) -> dict:
         spark = lake.spark
         ctx = quality.CheckContext(run_id, feed.validate_job, feed.name, feed.raw_table, batch_ts)
-        raw = quality.since(read_raw(lake, feed), since)
+        done = None if full_scan or since is not None else lake.noted(f"validated/{feed.name}")
+        arrived = lake.batches(raw_table(feed))
+        newest = arrived[-1] if arrived else None
         batch = lake.begin(_feed_batch(run.batch_id, feed))
-        seen = Observation()
-        watched = raw.observe(seen, *quality.rule_counters(feed.rules))
-        lake.write(batch, f"{VIOLATIONS}/{feed.name}", quality.rule_errors(watched, feed.rules, feed.key, ctx))
-        counts = dict(seen.get)
+        counts = dict.fromkeys(["checked", *[f"failed_{i}" for i in range(len(feed.rules))]], 0)
+        waiting = newest is not None and newest != done
+        if waiting:
+            raw = quality.since(read_raw(lake, feed, done, newest), since)
+            seen = Observation()
+            watched = raw.observe(seen, *quality.rule_counters(feed.rules))
+            lake.write(batch, f"{VIOLATIONS}/{feed.name}", quality.rule_errors(watched, feed.rules, feed.key, ctx))
+            counts = dict(seen.get)
+            batch.note(f"validated/{feed.name}", newest)
         counters = few_rows(spark, [list(counts.values())], ", ".join(f"{c} bigint" for c in counts))
         summary = quality.summarise(counters, feed.rules, ctx)
-        if landing is not None:
-            recon = quality.reconcile(raw, files.source_file_counts(spark, feed, f"{landing}/{feed.name}"), ctx)
+        if landing is not None and waiting:
+            loads = lake.read(f"{LOADS}/{feed.name}", files.LOAD_SCHEMA, done, until=newest).select("source_file_name")
+            there = files.list_files(spark, f"{landing}/{feed.name}").join(loads, "source_file_name", "left_semi")
+            recon = quality.reconcile(raw, files.source_file_counts(spark, feed, [row.path for row in there.collect()]), ctx)
             path, _ = lake.write(batch, f"{COUNTS}/{feed.name}", recon)
             if count_summary:
                 written = lake.read_paths([path], COUNT_SCHEMA)
@@ -417,7 +449,9 @@ def run_validate(
             "rows_read": checked,
             "rows_inserted": checked,
             "rows_rejected": failed,
-            "comments": f"{feed.raw_table} validation complete: {failed} rule violation(s) across {checked} row(s)",
+            "comments": f"{feed.raw_table} validation complete: {failed} rule violation(s) across {checked} row(s)"
+            if waiting
+            else "no new rows",
         }
 
     return run.run([(f.validate_job, lambda i, f=f: check(f, i)) for f in feeds], threads)
@@ -502,8 +536,9 @@ def run_layers(
     landing: str | None = None,
     feeds: str | list[str] = "all",
     threads: int = 4,
+    full_scan: bool = False,
 ) -> DataFrame:
-    """Run raw, validate, staging, curated or all; returns one outcome row per job."""
+    """Run raw, validate, staging, curated or all; returns one outcome row per job. `full_scan` checks all of RAW again."""
     chosen = pick(feeds)
     outcomes: list[tuple] = []
     if layer in ("raw", "all"):
@@ -511,7 +546,7 @@ def run_layers(
             raise ValueError("the raw layer needs the landing folder")
         outcomes += run_raw(lake, landing, chosen, batch_ts, threads)
     if layer in ("validate", "all"):
-        outcomes += run_validate(lake, landing, chosen, batch_ts, threads=threads)
+        outcomes += run_validate(lake, landing, chosen, batch_ts, threads=threads, full_scan=full_scan)
     if layer in ("staging", "all"):
         outcomes += run_staging(lake, chosen, batch_ts, threads=threads)
     if layer in ("curated", "all"):

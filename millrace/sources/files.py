@@ -225,7 +225,7 @@ def _empty_if_missing(spark: SparkSession, read: Callable[[], DataFrame], schema
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv*") -> DataFrame:
-    """File paths under a folder. Only names are listed; no content is read."""
+    """Files under a folder: `source_file_name`, as rows name it, and `path`, to read it by. Only names are listed; no content is read."""
 
     def read() -> DataFrame:
         return (
@@ -233,10 +233,10 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv*") -> Dat
             .option("pathGlobFilter", pattern)
             .option("recursiveFileLookup", "true")
             .load(folder)
-            .select(F.col("_metadata.file_path").alias("source_file_name"))
+            .select(F.col("_metadata.file_path").alias("source_file_name"), "path")
         )
 
-    return _empty_if_missing(spark, read, "source_file_name string")
+    return _empty_if_missing(spark, read, "source_file_name string, path string")
 
 
 def unseen_files(listed: DataFrame, history: DataFrame) -> DataFrame:
@@ -246,6 +246,9 @@ def unseen_files(listed: DataFrame, history: DataFrame) -> DataFrame:
 
 def source_file_counts(spark: SparkSession, feed: Feed, paths: str | Sequence[str]) -> DataFrame:
     """Data lines per file, counted in the files themselves; all files in one scan."""
+    schema = "source_file_name string, source_row_count bigint"
+    if not paths:
+        return spark.createDataFrame([], schema)
 
     def read() -> DataFrame:
         if feed.multiline:
@@ -255,4 +258,4 @@ def source_file_counts(spark: SparkSession, feed: Feed, paths: str | Sequence[st
             records = not_blank(lines).select(F.col("_metadata.file_path").alias("source_file_name"))
         return records.groupBy("source_file_name").agg(F.count(F.lit(1)).alias("source_row_count"))
 
-    return _empty_if_missing(spark, read, "source_file_name string, source_row_count bigint")
+    return _empty_if_missing(spark, read, schema)

@@ -109,6 +109,10 @@ class Lake:
         live = self._live(table, after, until)
         return [row.path for part, rows in live.items() if only is None or part in only for row in rows]
 
+    def part_names(self, table: str) -> set[str]:
+        """Partitions that the table has rows in."""
+        return {part for part, rows in self._live(table).items() if rows and part is not None}
+
     def count(self, table: str, after: str | None = None, until: str | None = None) -> int:
         """Rows according to the log; no data is read."""
         return sum(row.row_count for rows in self._live(table, after, until).values() for row in rows)
@@ -150,6 +154,7 @@ class Lake:
         partition_by: Sequence[str] = (),
         sort_within: Sequence[str] = (),
         split_by: Column | None = None,
+        rebalance: bool = True,
         counters: Sequence[Column] = (),
         register: bool = True,
     ) -> tuple[str, dict[str, int]]:
@@ -158,13 +163,15 @@ class Lake:
         Counts are taken in the writing stage, where a task's figures enter once however
         often the task runs. `rebalance_by` groups rows into files of even size: small
         groups share a file and a large one is split over several tasks. With `split_by`
-        each value becomes a partition that later batches can replace by itself.
+        each value becomes a partition that later batches can replace by itself; its rows are rebalanced too unless
+        `rebalance` is false, for rows that come from a few partitions' files as they lie.
         """
         if batch.batch_id in self.batches(table):
             raise ValueError(f"{table} already holds batch {batch.batch_id}")
         if split_by is not None:
             df = df.withColumn("_part", split_by)
-            rebalance_by = partition_by = ["_part"]
+            partition_by = ["_part"]
+            rebalance_by = partition_by if rebalance else ()
         if rebalance_by:
             df = df.hint("rebalance", *[F.col(c) for c in rebalance_by])
         if sort_within:
@@ -177,12 +184,18 @@ class Lake:
         writer.parquet(path)
         counts = dict(seen.get)
         if split_by is not None and counts["rows"]:
-            written = self.spark.read.schema("_part string").parquet(path).groupBy("_part").count().collect()
-            batch.parts += [Part(table, replaces, r["_part"], f"{path}/_part={r['_part']}", r["count"]) for r in written]
+            batch.parts += [Part(table, replaces, part, f"{path}/_part={part}", n) for part, n in self.part_counts(path).items()]
+        elif split_by is not None:
+            pass  # no partition is touched
         elif register:
             batch.parts.append(Part(table, replaces, None, path, counts["rows"]))
         return path, counts
 
+    def part_counts(self, path: str) -> dict[str, int]:
+        """Rows of each partition of a written folder, from its files' footers."""
+        written = self.spark.read.schema("_part string").parquet(path).groupBy("_part").count().collect()
+        return {r["_part"]: r["count"] for r in written}
+
     def commit(self, batch: Batch, at: dt.datetime) -> None:
         """Publish all parts of the batch as one file in a log folder of its own.
 

@@ -314,3 +314,47 @@ def test_bounded_state_dedupe_leaves_out_refused_rows(spark, tmp_path, rows):
     written = distinct.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ck"))
     written.trigger(availableNow=True).start().awaitTermination()
     assert rows(spark.read.parquet(out), "cdr_id") == [("R1",)]
+
+
+@pytest.mark.parametrize("name", ["customers", "plans", "devices", "towers", "cdr"])
+def test_a_small_merge_touches_only_the_buckets_of_its_keys(spark, lake, tmp_path, rows, name):
+    feed, landing = FEEDS[name], tmp_path / "in"
+    send(landing, name, "a.csv", *[{feed.key: f"K{i}"} for i in range(60)])
+    change = {"customers": {"plan_id": "P2"}, "plans": {"plan_name": "x"}, "devices": {"device_model": "x"}, "towers": {"capacity_mbps": "7"}, "cdr": {}}[name]
+    tables = [layers.stage_table(feed), layers.DIM_CURRENT if name == "customers" else layers.target_table(feed)]
+    seen = []
+    for at, file in ((D1, None), (D2, "b.csv")):
+        if file:
+            send(landing, name, file, {feed.key: "K7"} | change, {feed.key: "new"})
+        layers.run_raw(lake, str(landing), [feed], at), layers.run_staging(lake, [feed], at), layers.run_curated(lake, at, feeds=[name])
+        seen.append([set(lake.parts(t)) for t in tables])
+    before, after = seen
+    assert len(before[0]) > 20
+    if name == "cdr":
+        assert before[0] < after[0] and len(after[0] - before[0]) == 1
+    else:
+        for old, new in zip(before, after, strict=True):
+            assert len(old - new) <= 2 and 1 <= len(new - old) <= 2 and len(old & new) > 20
+    target = layers.read_target(lake, feed)
+    assert target.select(feed.key).distinct().count() == 61 == layers.read_stage(lake, feed).count()
+    if name == "customers":
+        assert target.where("is_current").count() == 61 and target.count() == 62
+    if feed.target.surrogate:
+        assert target.where(f"{feed.key} = 'new'").first()[feed.target.surrogate] == (62 if name == "customers" else 61)
+
+
+def test_each_error_is_stored_once_and_nothing_new_is_not_read(spark, lake, tmp_path, rows):
+    feed, landing = FEEDS["towers"], tmp_path / "in"
+    for at, name in ((D1, "a.csv"), (D2, "b c.csv"), (D3, "c.csv")):
+        send(landing, "towers", name, {"tower_id": f"T{at.day}"}, {"tower_id": f"X{at.day}", "region": "north"})
+        layers.run_raw(lake, str(landing), [feed], at)
+        layers.run_validate(lake, str(landing), [feed], at)
+        assert layers.validation_errors(lake).count() == at.day
+        assert layers.count_log(lake).count() == at.day
+    idle = layers.run_validate(lake, str(landing), [feed], D3 + dt.timedelta(hours=1))
+    assert idle[0][-1] == "no new rows" and layers.validation_errors(lake).count() == 3
+    last = layers.validation_summary(lake).where(F.col("checked_at") > F.lit(D3).cast("timestamp_ntz"))
+    assert rows(last.select("records_checked", "check_status").distinct()) == [(0, "PASS")]
+    layers.run_validate(lake, str(landing), [feed], D3 + dt.timedelta(hours=2), full_scan=True)
+    assert layers.validation_errors(lake).count() == 6
+    assert rows(layers.count_log(lake).select("check_status").distinct()) == [("MATCH",)]
