@@ -7,8 +7,10 @@ The draws depend on the seed, the row's key and the place in the text only, not
 partitions or batches.
 
 A piece has the space mark at its start or nowhere else (or is a run of marks), so none crosses the end of
-a word and the lattice falls apart into words. Forward sums are computed for the distinct words of a slice
-of texts, all words at once, one character after another. The vocabulary's scores are merge ranks; a
+a word and the lattice falls apart into words. Inside a word it falls apart again wherever no piece crosses, as between most
+characters of writing without spaces. Forward sums are computed for the distinct words of a slice
+of texts, all parts at once, one character after another; the few parts that are much longer than the others, one by one from there on.
+The vocabulary's scores are merge ranks; a
 piece of rank r weighs (r + 1) ** -power, and a character that has no piece is spelled by its bytes.
 """
 
@@ -31,6 +33,10 @@ BYTE_WEIGHT = 1e-12
 SLICE = 2 << 20
 TINY = 1e-200
 FULL = np.uint32(0xFFFFFFFF)
+ONES = (1 << 64) - 1
+STRIDE = 0x9E3779B97F4A7C15
+FEW = 16  # parts of a lattice that are gone through one by one
+CHUNK = 1 << 15  # characters of such a part whose sums are held at a time
 
 
 class Vocabulary:
@@ -150,18 +156,30 @@ class Lattices:
             on, state = on[go], state[go]
             if not len(on):
                 break
+        # Pieces that cross the place before a character; where there are none, a part of its own begins.
+        behind, by = np.nonzero(weights[:, 1:])
+        crossing = np.zeros(n + 1, np.int64)
+        np.add.at(crossing, behind - by, 1)
+        np.add.at(crossing, behind + 1, -1)
+        begins = (np.cumsum(crossing[:-1]) == 0) | (depth == 0)
         alone = weights[:, 0] == 0
         weights[alone, 0] = BYTE_WEIGHT
-        self.shares = self._forward(weights, depth)
+        self.begin = np.flatnonzero(begins)
+        self.length = np.diff(np.r_[self.begin, n])
+        # The parts of word i are those from `part[i]` up to `part[i + 1]`.
+        self.part = np.searchsorted(self.begin, np.r_[self.first, n])
+        self.shares = self._forward(weights, self.begin, self.length)
 
-    def _forward(self, weights: np.ndarray, depth: np.ndarray) -> np.ndarray:
+    def _forward(self, weights: np.ndarray, start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         n, longest = weights.shape
         shares = np.empty((n, longest), np.uint32)
         total = np.zeros(n)  # of the node behind character i
-        order = np.argsort(depth, kind="stable")
-        bounds = np.searchsorted(depth[order], np.arange((int(depth.max()) + 2) if n else 1))
-        for d, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-            at = order[a:b]
+        by_size = np.argsort(-sizes, kind="stable")
+        start, sizes = start[by_size], sizes[by_size]
+        # From this depth on there are but a few parts.
+        common = int(sizes[FEW - 1]) if len(sizes) >= FEW else 0
+        for d in range(common):
+            at = start[: int(np.searchsorted(-sizes, -d, side="left"))] + d
             reach = min(longest, d + 1)
             sums = np.zeros((len(at), longest))
             run = np.zeros(len(at))
@@ -176,12 +194,40 @@ class Lattices:
             if small.any():  # only the ratios within reach of a piece matter
                 for i in at[small]:
                     total[max(i - d, i - longest) : i + 1] /= total[i]
+        for begin, size in zip(start[:FEW].tolist(), sizes[:FEW].tolist(), strict=True):
+            if size > common:
+                self._along(weights, total, shares, begin, common, size)
         # A draw is below the full share, so it never passes the last edge.
         last = longest - 1 - (weights[:, ::-1] > 0).argmax(axis=1)
         shares[np.arange(longest)[None, :] >= last[:, None]] = FULL
         return shares
 
 
+    @staticmethod
+    def _along(weights: np.ndarray, total: np.ndarray, shares: np.ndarray, begin: int, depth: int, size: int) -> None:
+        """The shares of one part from a depth on."""
+        longest = weights.shape[1]
+        past = total[max(begin, begin + depth - longest) : begin + depth].tolist()
+        for lo in range(depth, size, CHUNK):
+            hi = min(size, lo + CHUNK)
+            sums = []
+            for d, row in zip(range(lo, hi), weights[begin + lo : begin + hi].tolist(), strict=True):
+                run, found = 0.0, []
+                for length in range(1, min(longest, d + 1) + 1):
+                    own = row[length - 1]
+                    if own:
+                        run += own if length == d + 1 else own * past[-length]
+                    found.append(run)
+                sums.append(found + [run] * (longest - len(found)))
+                past.append(run)
+                if len(past) > longest:
+                    del past[0]
+                if run < TINY:
+                    past = [x / run for x in past]
+            got = np.array(sums)
+            shares[begin + lo : begin + hi] = np.minimum(got / got[:, -1:] * 4294967296.0, 4294967295.0).astype(np.uint32)
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer; spreads counters over all bits."""
     with np.errstate(over="ignore"):
@@ -190,32 +236,55 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def _walk(held: Lattices, words: np.ndarray, streams: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, ...]:
-    """For each word in turn its pieces, the characters of those, and how many pieces it has.
+def _mix_one(x: int) -> int:
+    """The same of one number."""
+    x &= ONES
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & ONES
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB & ONES
+    return x ^ (x >> 31)
+
 
-    `streams` and `places` (of a word's first character in its text) seed the draws.
+def _walk(held: Lattices, parts: np.ndarray, streams: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For each part of a lattice in turn its pieces, the characters of those, and how many pieces it has.
+
+    `streams` and `places` (of a part's first character in its text) seed the draws. The few parts that are still under way when the others
+    are done are walked one by one.
     """
-    base = held.first[words]
-    node = held.sizes[words].copy()
-    on = np.arange(len(words))
+    base = held.begin[parts]
+    node = held.length[parts].copy()
+    on = np.arange(len(parts))
     rounds = []
-    counts = np.zeros(len(words), np.int64)
-    while len(on):
+    counts = np.zeros(len(parts), np.int64)
+    while len(on) > FEW:
         at = base[on] + node[on] - 1
         with np.errstate(over="ignore"):
-            draw = _mix(streams[on] + (places[on] + node[on]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            draw = _mix(streams[on] + (places[on] + node[on]).astype(np.uint64) * np.uint64(STRIDE))
         draw = np.minimum((draw >> np.uint64(32)).astype(np.uint32), FULL - np.uint32(1))
         length = (held.shares[at] <= draw[:, None]).sum(axis=1)
         rounds.append((on, held.pieces[at, length], at))
         node[on] -= length + 1
         counts[on] += 1
         on = on[node[on] > 0]
+    alone = []
+    for i in on.tolist():
+        found, left, begin, place, stream = [], int(node[i]), int(base[i]), int(places[i]), int(streams[i])
+        while left > 0:
+            draw = min(_mix_one(stream + (place + left) * STRIDE) >> 32, int(FULL) - 1)
+            found.append(begin + left - 1)
+            left -= int(held.shares[begin + left - 1].searchsorted(draw, side="right")) + 1
+        at = np.array(found, np.int64)
+        length = at - np.r_[at[1:], begin - 1] - 1
+        alone.append((i, int(counts[i]), held.pieces[at, length], at))
+        counts[i] += len(found)
     ends = np.cumsum(counts)
     out = np.empty(int(ends[-1]) if len(ends) else 0, np.int32)
     char = np.empty(len(out), np.int64)
     for step, (rows, found, at) in enumerate(rounds):
         out[ends[rows] - 1 - step] = found
         char[ends[rows] - 1 - step] = at
+    for i, step, found, at in alone:
+        where = ends[i] - 1 - step - np.arange(len(at))
+        out[where], char[where] = found, at
     return out, char, counts
 
 
@@ -277,8 +346,13 @@ def sample(texts: pa.Array, keys: np.ndarray, path: str, seed: int, power: float
     starts = np.cumsum(per) - per
     places = before - np.repeat(before[starts], per)
     with np.errstate(over="ignore"):
-        own = _mix(keys[some] * np.uint64(0x9E3779B97F4A7C15) + _mix(np.array([seed], np.uint64)))
-    ids, chars, lengths = _walk(held, words, np.repeat(own, per), places)
+        own = _mix(keys[some] * np.uint64(STRIDE) + _mix(np.array([seed], np.uint64)))
+    n = (held.part[1:] - held.part[:-1])[words]
+    parts = np.arange(int(n.sum())) + np.repeat(held.part[words] - (np.cumsum(n) - n), n)
+    places = np.repeat(places - held.first[words], n) + held.begin[parts]
+    per = np.add.reduceat(n, starts)
+    starts = np.cumsum(per) - per
+    ids, chars, lengths = _walk(held, parts, np.repeat(own, per), places)
     spelled = np.flatnonzero(ids < 0)
     if len(spelled):
         by, n = _spell(v, held.points[chars[spelled]])

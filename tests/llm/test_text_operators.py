@@ -5,6 +5,7 @@ import os
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -464,6 +465,60 @@ def test_piece_shares():
         assert abs(seen.get(key, 0) / n - w / total) < 0.012, key
 
 
+def plain_pieces(text, key, seed):
+    """Ids drawn along one lattice over the whole text, in exact fractions, without words or parts."""
+    v = pieces._vocabulary(PIECES, 1.0)
+    exact = lambda x: Fraction(float(np.float32(x)))
+    known = {v.bytes_of[i].decode(): (exact(v.weight[s]), i) for s, i in enumerate(v.piece.tolist()) if i >= 0}
+    chars = " " + text
+    edges, sums = [None], [Fraction(1)]
+    for e in range(1, len(chars) + 1):
+        own = []
+        for n in range(1, min(v.longest, e) + 1):
+            w, i = known.get(chars[e - n : e], (exact(pieces.BYTE_WEIGHT), -1) if n == 1 else (0, -1))
+            own.append((n, w * sums[e - n], i))
+        edges.append(own)
+        sums.append(sum(w for _, w, _ in own))
+    mix = lambda x: int(pieces._mix(np.array([x % (1 << 64)], np.uint64))[0])
+    stream, e, out = mix(key * 0x9E3779B97F4A7C15 + mix(seed)), len(chars), []
+    while e:
+        draw, run = min(mix(stream + e * 0x9E3779B97F4A7C15) >> 32, (1 << 32) - 2), 0
+        for n, w, i in edges[e]:
+            run += w
+            if w and (int(run / sums[e] * (1 << 32)) > draw or run == sums[e]):
+                break
+        out = ([i] if i >= 0 else [int(v.byte_ids[b]) for b in chars[e - n].encode()]) + out
+        e -= n
+    return out
+
+
+@pytest.mark.parametrize("few", [0, 16])
+def test_pieces_as_plain_code(monkeypatch, few):
+    """The same ids, whether parts are gone through together or one by one."""
+    monkeypatch.setattr(pieces, "FEW", max(1, few))
+    base = "the weather there, internationalization of the thing"
+    texts = [base, "  two  spaces ", "漢字かな交じり文と日本語のテキスト" * 2, "x" * 90, "▁ mark\tand\n", "a", "été naïve " * 5, "ab" * 40 + " " + "e" * 60, "😀é" * 9]
+    ids, counts = pieces.sample(pa.array(texts), np.arange(5, 5 + len(texts), dtype=np.uint64), PIECES, 42, 1.0)
+    ends = np.r_[0, np.cumsum(counts)]
+    for i, text in enumerate(texts):
+        assert ids[ends[i] : ends[i + 1]].tolist() == plain_pieces(text, 5 + i, 42), text
+
+
+def test_text_without_spaces_costs_about_what_other_text_does():
+    import time
+
+    def seconds(text):
+        began = time.process_time()
+        pieces.sample(pa.array([text]), np.zeros(1, np.uint64), PIECES, 42, 1.0)
+        return time.process_time() - began
+
+    rng = np.random.default_rng(1)
+    chinese = "".join(map(chr, rng.integers(0x4E00, 0x9FA5, 80_000)))
+    latin = "".join(rng.choice(list("etaoinshrdlu"), 80_000))
+    seconds("warm")
+    assert seconds(chinese) < 2.0 and seconds(latin) < 3.0 and seconds("x" * 80_000) < 3.0
+
+
 def test_lookup_table_is_even_and_steady():
     names = [f"s{i}" for i in range(12)]
     whole, less = maglev.lookup_table(names, 1201), maglev.lookup_table(names[:-1], 1201)
