@@ -539,3 +539,16 @@ ORACLES["layers_file_counts"] = with_feeds(
         for where, at in _LOADS[:2]
     ),
 )
+_tow = FEEDS["towers"]
+_in_second = ", ".join("CASE WHEN tower_id LIKE '%5' THEN 777 ELSE capacity_mbps END AS capacity_mbps" if c == "capacity_mbps" else c for c in _tow.columns)
+ORACLES["layers_net_changes"] = with_feeds(
+    ("towers",),
+    f"SELECT {shown_fields(_tow)}, _action, _is_update FROM ("
+    f"WITH l2 AS ({staged_sql(_tow, 'load = 2')}), "
+    f"three AS (SELECT * FROM l2 UNION ALL SELECT * EXCLUDE (updated_at) FROM s1_towers WHERE tower_id LIKE '%5' AND tower_id NOT IN (SELECT tower_id FROM l2)), "
+    f"after AS (SELECT {_in_second} FROM three WHERE tower_id NOT LIKE '%7'), "
+    f"touched AS (SELECT tower_id FROM three UNION SELECT tower_id FROM s1_towers WHERE tower_id LIKE '%7') "
+    f"SELECT {', '.join(_tow.columns)}, 'DELETE' AS _action, tower_id IN (SELECT tower_id FROM after) AS _is_update "
+    f"FROM s1_towers WHERE tower_id IN (SELECT tower_id FROM touched) UNION ALL "
+    f"SELECT {', '.join(_tow.columns)}, 'INSERT', tower_id IN (SELECT tower_id FROM s1_towers) FROM after)",
+)

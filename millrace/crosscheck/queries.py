@@ -626,3 +626,32 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
             F.count_if(F.col("row_count_variance") > 0).alias("files_with_more"),
         )
     )
+
+
+THIRD_LOAD = SECOND_LOAD + dt.timedelta(hours=2)
+
+
+@query("layers_net_changes")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """What one curated run has to carry over after two staged batches and a removal.
+
+    The second load changes most towers, a third one those whose id ends in 5 again, and those whose id ends in 7 are removed:
+    known ones are a DELETE alone, ones that the second load brought are nothing.
+    """
+    feed = FEEDS["towers"]
+    lake = Lake(spark, scratch(spark, "lake"))
+    target = sent_files(spark, folder, feed, FIRST_LOAD)
+    landing = target.rsplit("/", 1)[0]
+    layers.run_raw(lake, landing, [feed], FIRST_LOAD)
+    layers.run_staging(lake, [feed], FIRST_LOAD)
+    layers.run_curated(lake, FIRST_LOAD, feeds=[feed.name])
+    sent_files(spark, folder, feed, SECOND_LOAD, target)
+    layers.run_raw(lake, landing, [feed], SECOND_LOAD)
+    layers.run_staging(lake, [feed], SECOND_LOAD)
+    again = layers.read_stage(lake, feed).where("tower_id LIKE '%5'").withColumn("capacity_mbps", F.lit("777"))
+    again.select(*feed.columns).write.mode("append").option("header", "true").option("escape", '"').csv(target)
+    layers.run_raw(lake, landing, [feed], THIRD_LOAD)
+    layers.run_staging(lake, [feed], THIRD_LOAD)
+    gone = layers.read_stage(lake, feed).where("tower_id LIKE '%7'")
+    layers.remove_keys(lake, feed, gone, THIRD_LOAD)
+    return plain(layers.pending_changes(lake, feed), "updated_at", "_changed_at")

@@ -88,7 +88,7 @@ class Feed:
 
     @property
     def change_schema(self) -> str:
-        return f"{self.stage_schema}, _action string, _is_update boolean"
+        return f"{self.stage_schema}, _action string, _is_update boolean, _changed_at timestamp_ntz"
 
     @property
     def target_schema(self) -> str:

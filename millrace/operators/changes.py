@@ -52,19 +52,46 @@ def replay(before: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFr
     return before.join(touched, list(keys), "left_anti").unionByName(inserted)
 
 
+def net_changes(changes: DataFrame, key: str) -> DataFrame:
+    """The change set that those of several batches make together, from the state before the first to that after the last.
+
+    Two updates are one pair, of the first old row and the last new one; an insert that is updated stays an insert; an
+    insert that is deleted is nothing; an update that is deleted is a DELETE of the first old row. `_changed_at` is the last change's. Rows of
+    one key are added up before the shuffle.
+    """
+    names = [c for c in changes.columns if c not in ("_action", "_is_update", "_changed_at")]
+    order = F.struct("_changed_at", F.when(F.col("_action") == "DELETE", 0).otherwise(1))
+    row = F.struct(F.struct(*names).alias("row"), "_action")
+    both = changes.groupBy(F.col(key).alias("_key")).agg(
+        F.min_by(row, order).alias("_first"), F.max_by(row, order).alias("_last"), F.max("_changed_at").alias("_changed_at")
+    )
+    old = F.when(F.col("_first._action") == "DELETE", F.col("_first.row"))
+    new = F.when(F.col("_last._action") == "INSERT", F.col("_last.row"))
+    pair = old.isNotNull() & new.isNotNull()
+    sides = F.array_compact(
+        F.array(
+            F.when(old.isNotNull(), F.struct(old.alias("row"), F.lit("DELETE").alias("_action"))),
+            F.when(new.isNotNull(), F.struct(new.alias("row"), F.lit("INSERT").alias("_action"))),
+        )
+    )
+    return both.select("_changed_at", pair.alias("_is_update"), F.inline(sides)).select("row.*", "_action", "_is_update", "_changed_at")
+
+
 def latest_inserts(changes: DataFrame, key: str, stamp: str = "updated_at") -> DataFrame:
     """The newest INSERT per key of a change set that may span several batches.
 
     Of a DELETE and an INSERT at the same time the INSERT is newer, as in an update pair.
     """
+    lead = [c for c in ("_changed_at", stamp, "_action") if c in changes.columns]
     rows = changes.drop("_is_update")
-    return latest_by_key(rows, [key], total_order(rows, [key], (stamp, "_action"))).where("_action = 'INSERT'")
+    return latest_by_key(rows, [key], total_order(rows, [key], lead)).where("_action = 'INSERT'")
 
 
 def keys_ending_in(changes: DataFrame, key: str, action: str, stamp: str = "updated_at") -> DataFrame:
     """Keys whose newest change is `action`. Only key, time and action are shuffled."""
-    rows = changes.select(key, stamp, "_action")
-    newest = latest_by_key(rows, [key], newest_first(stamp, "_action"))
+    at = "_changed_at" if "_changed_at" in changes.columns else stamp
+    rows = changes.select(key, at, "_action")
+    newest = latest_by_key(rows, [key], newest_first(at, "_action"))
     return newest.where(F.col("_action") == action).select(key)
 
 

@@ -38,9 +38,12 @@ def upsert(
     stamp: str | None = None,
     batch_ts: dt.datetime | None = None,
     small: bool = False,
+    before: bool = False,
 ) -> DataFrame:
     """The target after the merge, with `_op` = insert, update or keep per row.
 
+    With `before`, `_before` holds an updated row as it was; null for the others.
+
     `source` holds each key once and no null key. A match overwrites the `update`
     columns (default: all the source has) if `when` holds, and the stamp with them;
     other columns keep their first value. A new key is inserted with every source
@@ -77,13 +80,16 @@ def upsert(
         return F.when(is_insert | is_update if c in overwritten else is_insert, new(c)).otherwise(old(c)).alias(c)
 
     op = F.when(is_insert, "insert").when(is_update, "update").otherwise("keep").alias("_op")
+    told = [op]
+    if before:
+        told.append(F.when(is_update, F.struct(*[old(c).alias(c) for c in target.columns])).alias("_before"))
     on = [F.col(k) == F.col(f"_new_{k}") for k in keys]
     if not small:
         joined = existing.join(incoming, on, "full_outer")
-        return joined.select(*[resolve(c) for c in target.columns], op)
+        return joined.select(*[resolve(c) for c in target.columns], *told)
 
     matched = existing.join(F.broadcast(incoming), on, "left")
-    kept = matched.select(*[resolve(c) for c in target.columns], op)
+    kept = matched.select(*[resolve(c) for c in target.columns], *told)
     types = {f.name: f.dataType for f in target.schema.fields}
     absent = insert_absent(target, source, keys, small=True)
     inserted = absent.select(
@@ -92,6 +98,7 @@ def upsert(
             for c in target.columns
         ],
         F.lit("insert").alias("_op"),
+        *([F.lit(None).cast(target.schema).alias("_before")] if before else []),
     )
     return kept.unionByName(inserted)
 
@@ -134,6 +141,22 @@ def merge_counts(merged: DataFrame) -> DataFrame:
     return merged.agg(*op_counters())
 
 
+def change_pairs(merged: DataFrame, at: dt.datetime) -> DataFrame:
+    """The change set of a merge with before-images: an update is a DELETE of the old row and an INSERT of the new one.
+
+    `_changed_at` is the time of the batch, by which change sets of several batches are put in order.
+    """
+    names = [c for c in merged.columns if c not in ("_op", "_before")]
+    updated = F.col("_op") == "update"
+    side = lambda row, action: F.struct(row.alias("row"), F.lit(action).alias("_action"))
+    sides = F.array_compact(F.array(F.when(updated, side(F.col("_before"), "DELETE")), side(F.struct(*names), "INSERT")))
+    return (
+        merged.where("_op <> 'keep'")
+        .select(updated.alias("_is_update"), F.inline(sides))
+        .select("row.*", "_action", "_is_update", F.lit(at).cast("timestamp_ntz").alias("_changed_at"))
+    )
+
+
 def changes_of(merged: DataFrame) -> DataFrame:
     """The net change set a merge produced, without comparing the two states.
 

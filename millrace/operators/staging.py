@@ -53,8 +53,9 @@ def merge_stage(
     batch_ts: dt.datetime,
     dedupe: bool = False,
     small: bool = False,
+    before: bool = False,
 ) -> DataFrame:
-    """Merge `stage_rows` output into the staging table; adds `_op` per row.
+    """Merge `stage_rows` output into the staging table; adds `_op` per row, and with `before` the old row of an update.
 
     Insert-only feeds return just the new rows, all with `_op` insert.
     """
@@ -71,4 +72,5 @@ def merge_stage(
         stamp="updated_at",
         batch_ts=batch_ts,
         small=small,
+        before=before,
     )

@@ -18,7 +18,8 @@ from millrace.functions.casts import month_of
 from millrace.operators import quality, runlog
 from millrace.operators.curate import append_fact, merge_target, target_rows
 from millrace.operators.history import end_versions, open_versions
-from millrace.operators.merge import SMALL_ROWS, insert_absent, op_counters, upsert
+from millrace.operators.changes import net_changes
+from millrace.operators.merge import SMALL_ROWS, change_pairs, insert_absent, op_counters, upsert
 from millrace.operators.staging import cast_feed, merge_stage, stage_rows, unusable
 from millrace.operators.surrogate import assign_keys
 from millrace.plans import reports
@@ -127,8 +128,8 @@ def stage(
 ) -> tuple[str, dict[str, int]]:
     """Merge landing rows into the staging table; returns the folder of the change set.
 
-    The merged rows are stored with their `_op`, so the change set is a filtered read of
-    what was just written, not a second run of the merge.
+    The merged rows are stored with their `_op` and, if updated, as they were before, so the change set is a
+    filtered read of what was just written, not a second run of the merge.
     """
     rows = stage_rows(raw, feed)
     if feed.insert_only:
@@ -140,7 +141,7 @@ def stage(
         path, counts = lake.write(batch, stage_table(feed), merged.drop("_op"), split_by=part_of(feed), rebalance=not small)
         return path, {"rows_inserted": counts["rows"], "rows_updated": 0}
     staged = read_touched(lake, stage_table(feed), feed.stage_schema, feed, cast_feed(raw, feed), small)
-    merged = merge_stage(staged, rows, feed, batch_ts, small=small)
+    merged = merge_stage(staged, rows, feed, batch_ts, small=small, before=True)
     path, counts = lake.write(
         batch,
         stage_table(feed),
@@ -150,16 +151,9 @@ def stage(
         rebalance=not small or feed.month is not None,
         counters=op_counters(),
     )
-    written = lake.read_paths([path], f"{feed.stage_schema}, _op string").where("_op <> 'keep'")
-    change_path, _ = lake.write(
-        batch,
-        change_table(feed),
-        written.select(
-            *written.drop("_op").columns,
-            F.lit("INSERT").alias("_action"),
-            (F.col("_op") == "update").alias("_is_update"),
-        ),
-    )
+    old = feed.stage_schema.replace(" ", ":").replace(",:", ", ")
+    written = lake.read_paths([path], f"{feed.stage_schema}, _op string, _before struct<{old}>")
+    change_path, _ = lake.write(batch, change_table(feed), change_pairs(written, batch_ts))
     return change_path, counts
 
 
@@ -204,16 +198,50 @@ def read_changes(lake: Lake, feed: Feed, after: str | None = None, until: str |
     return lake.read(change_table(feed), feed.change_schema, after, until=until)
 
 
+def pending_changes(lake: Lake, feed: Feed, until: str | None = None) -> DataFrame:
+    """What the next curated run carries over: the net change set of all staging batches since the last one."""
+    done, source = lake.noted(f"curated/{feed.name}"), stage_table(feed) if feed.insert_only else change_table(feed)
+    staged = lake.batches(source)
+    waiting = staged[staged.index(done) + 1 :] if done in staged else staged
+    changes = read_changes(lake, feed, done, until)
+    # One batch's changes are net already; those of the insert-only feed are always.
+    return changes if feed.insert_only or len(waiting) < 2 else net_changes(changes, feed.key)
+
+
+def remove_keys(lake: Lake, feed: Feed, keys: DataFrame, batch_ts: dt.datetime) -> int:
+    """Takes rows out of the staging table of a keyed feed; they are DELETE rows of its change table. Returns how many there were.
+
+    Only the partitions of the keys are written again. What becomes of the targets is decided by `run_curated`'s `on_delete`.
+    """
+    wanted = keys.select(feed.key).where(F.col(feed.key).isNotNull()).distinct()
+    table = stage_table(feed)
+    rows = lake.read(table, feed.stage_schema).join(wanted, feed.key, "left_semi")
+    batch = lake.begin(f"{batch_ts:%Y%m%dT%H%M%S}-remove-{feed.name}")
+    at = F.lit(batch_ts).cast("timestamp_ntz").alias("_changed_at")
+    gone = rows.select("*", F.lit("DELETE").alias("_action"), F.lit(False).alias("_is_update"), at)
+    path, counts = lake.write(batch, change_table(feed), gone)
+    if not counts["rows"]:
+        return 0
+    removed = lake.read_paths([path], feed.change_schema)
+    touched = {row[0] for row in removed.select(part_of(feed)).distinct().collect()}
+    kept = lake.read(table, feed.stage_schema, only=touched).join(removed.select(feed.key), feed.key, "left_anti")
+    folder, left = lake.write(batch, table, kept, split_by=part_of(feed), register=False)
+    live = lake.part_counts(folder) if left["rows"] else {}
+    batch.parts += [Part(table, True, part, f"{folder}/_part={part}", live.get(part, 0)) for part in sorted(touched)]
+    lake.commit(batch, batch_ts)
+    return counts["rows"]
+
+
 def as_inserts(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_action", F.lit("INSERT")).withColumn("_is_update", F.lit(False))
 
 
 def curate(
-    lake: Lake, batch: Batch, feed: Feed, changes: DataFrame, batch_ts: dt.datetime, small: bool = False
+    lake: Lake, batch: Batch, feed: Feed, changes: DataFrame, batch_ts: dt.datetime, small: bool = False, on_delete: str = "keep"
 ) -> dict[str, int]:
     """Carry a stored change set over into the feed's target; `small` if it may be broadcast."""
     if feed.target.kind == "scd2":
-        return _curate_history(lake, batch, feed, changes, batch_ts, small)
+        return _curate_history(lake, batch, feed, changes, batch_ts, small, on_delete)
     if feed.target.kind == "append":
         facts = append_fact(changes, feed, batch_ts)
         _, counts = lake.write(
@@ -257,7 +285,7 @@ def curate(
 
 
 def _curate_history(
-    lake: Lake, batch: Batch, feed: Feed, changes: DataFrame, batch_ts: dt.datetime, small: bool
+    lake: Lake, batch: Batch, feed: Feed, changes: DataFrame, batch_ts: dt.datetime, small: bool, on_delete: str = "keep"
 ) -> dict[str, int]:
     """Rewrite the current versions in the buckets of changed keys, add the ended ones to history; older history is not read.
 
@@ -268,7 +296,7 @@ def _curate_history(
     current = lake.read(DIM_CURRENT, feed.target_schema, only=touched)
     last = int(lake.noted(f"highest/{sk}") or 0)
     opened = assign_keys(open_versions(changes, feed.key, feed.columns, batch_ts), sk, last, feed.key)
-    ended = end_versions(current, changes, feed.key, batch_ts, small=small)
+    ended = end_versions(current, changes, feed.key, batch_ts, on_delete, small=small)
     versions = ended.unionByName(opened).withColumn("_open", F.col("is_current")).withColumn("_part", part_of(feed))
     path, counts = lake.write(
         batch,
@@ -499,9 +527,12 @@ def run_staging(
 
 
 def run_curated(
-    lake: Lake, batch_ts: dt.datetime, threads: int = 4, feeds: Iterable[str] = CURATED_ORDER
+    lake: Lake, batch_ts: dt.datetime, threads: int = 4, feeds: Iterable[str] = CURATED_ORDER, on_delete: str = "keep"
 ) -> list[tuple]:
-    """Carry the changes of all feeds over. How far a target has read is published with it."""
+    """Carry the net changes of all feeds over. How far a target has read is published with it.
+
+    `on_delete="close"` ends the current version of a key whose row was removed; by default it stays open.
+    """
     run = Run(lake, "curated", batch_ts)
 
     def carry(feed: Feed, run_id: int) -> dict:
@@ -514,8 +545,8 @@ def run_curated(
         if not waiting:
             return {"comments": "no changes to merge"}
         batch = lake.begin(_feed_batch(run.batch_id, feed))
-        changes = read_changes(lake, feed, done, newest)
-        counts = curate(lake, batch, feed, changes, batch_ts, waiting <= SMALL_ROWS)
+        changes = pending_changes(lake, feed, newest)
+        counts = curate(lake, batch, feed, changes, batch_ts, waiting <= SMALL_ROWS, on_delete)
         batch.note(f"curated/{feed.name}", newest)
         lake.commit(batch, batch_ts)
         return {

@@ -183,7 +183,7 @@ class Lake:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
         counts = dict(seen.get)
-        if split_by is not None and counts["rows"]:
+        if split_by is not None and counts["rows"] and register:
             batch.parts += [Part(table, replaces, part, f"{path}/_part={part}", n) for part, n in self.part_counts(path).items()]
         elif split_by is not None:
             pass  # no partition is touched

@@ -178,3 +178,46 @@ def test_staging_edge_cases(spark, rows):
     first = state(merge_stage(empty, staged, feed, T0))
     assert first.count() == 3 and merge_stage(first, staged, feed, T1).isEmpty()
     assert merge_stage(empty, staged, feed, T0, dedupe=True).count() == 2
+
+
+def test_change_sets_of_several_batches_make_one(spark, rows):
+    """Against the difference of the two outer states, for all sequences of three changes of a key."""
+    import datetime as dt
+    from itertools import product
+
+    from millrace.operators.changes import net_changes, snapshot_diff
+
+    kind = "k string, v int, _action string, _is_update boolean, _changed_at timestamp_ntz"
+    made, before, after = [], [], []
+    for n, (start, *steps) in enumerate(product([True, False], *[["set", "drop", "none"]] * 3)):
+        key, held = f"k{n:02d}", 0 if start else None
+        if start:
+            before.append((key, 0))
+        for i, step in enumerate(steps):
+            at = dt.datetime(2024, 1, 1 + i)
+            if step == "set":
+                if held is not None:
+                    made.append((key, held, "DELETE", True, at))
+                made.append((key, i + 1, "INSERT", held is not None, at))
+                held = i + 1
+            elif step == "drop" and held is not None:
+                made.append((key, held, "DELETE", False, at))
+                held = None
+        if held is not None:
+            after.append((key, held))
+    wanted = snapshot_diff(*[spark.createDataFrame(x, "k string, v int") for x in (before, after)], ["k"])
+    got = net_changes(spark.createDataFrame(made, kind).repartition(3), "k").drop("_changed_at")
+    assert rows(got) == rows(wanted)
+
+
+def test_change_pairs_hold_the_old_row(spark, rows):
+    import datetime as dt
+
+    from millrace.operators.merge import change_pairs, upsert
+
+    at = dt.datetime(2024, 1, 2)
+    target = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, v int")
+    source = spark.createDataFrame([("a", 9), ("d", 4)], "k string, v int")
+    for small in (False, True):
+        merged = upsert(target, source, ["k"], small=small, before=True)
+        assert rows(change_pairs(merged, at)) == [("a", 1, "DELETE", True, at), ("a", 9, "INSERT", True, at), ("d", 4, "INSERT", False, at)]
