@@ -476,6 +476,9 @@ ORACLES["job_registry"] = f"""WITH {RUNS}, known(job_name, layer, source_object,
     CASE WHEN layer IS NULL THEN '{SECOND_LOAD}' ELSE '{FIRST_LOAD}' END AS created_at, ran.runs
     FROM known FULL JOIN ran USING (job_name)"""
 
+for _stored, _same in (("layers_run_days", "daily_run_stats"), ("layers_latest_runs", "latest_run_status"), ("layers_job_registry", "job_registry")):
+    ORACLES[_stored] = ORACLES[_same]
+
 # -- files and streams -----------------------------------------------------------------
 
 

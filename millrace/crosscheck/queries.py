@@ -405,7 +405,7 @@ def run_events(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("string"), F.concat(F.lit("run "), F.col("run_id").cast("string"), F.lit(" closed")),
     )
     both = F.array_compact(F.array(start, F.when(F.col("outcome") != "NONE", close)))
-    return runs.select("run_id", "job_name", F.inline(both)).select(
+    return runs.select("run_id", "job_name", F.to_date("started").alias("run_date"), F.inline(both)).select(
         "*", F.lit("WH_TRANSFORM").alias("warehouse_used"), F.lit(None).cast("string").alias("query_id")
     )
 
@@ -425,8 +425,19 @@ def run_errors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def event_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The events as the log holds them, by month of the run's start."""
+    return stored(
+        spark, folder, "audit/events", lambda: run_events(spark, folder).withColumn("run_month", layers.day_part()), ["run_month"]
+    )
+
+
 def run_log(spark: SparkSession, folder: str) -> DataFrame:
-    return runlog.run_log(run_events(spark, folder))
+    return runlog.run_log(event_log(spark, folder))
+
+
+def run_states(spark: SparkSession, folder: str) -> DataFrame:
+    return runlog.run_states(event_log(spark, folder))
 
 
 @query("run_log")
@@ -436,30 +447,31 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("daily_run_stats")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(reports.daily_run_stats(run_log(spark, folder)))
+    return plain(reports.daily_run_stats(run_states(spark, folder)))
 
 
 @query("daily_summary")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """The statistics of the last day with runs."""
-    log = run_log(spark, folder)
-    last = log.agg(F.max("run_date")).first()[0]
-    return plain(reports.daily_summary(log, last))
+    events = event_log(spark, folder)
+    last = events.agg(F.max("run_date")).first()[0]
+    month = events.where(F.col("run_month") == f"{last:%Y-%m}")
+    return plain(reports.daily_summary(runlog.run_states(month), last))
 
 
 @query("latest_run_status")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(reports.latest_run_status(run_log(spark, folder)))
+    return plain(reports.latest_run_status(run_states(spark, folder)))
 
 
 @query("open_errors")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(reports.open_errors(run_errors(spark, folder), run_log(spark, folder)))
+    return plain(reports.open_errors(run_errors(spark, folder), run_states(spark, folder)))
 
 
 @query("newest_open_errors")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(reports.newest_open_errors(run_errors(spark, folder), run_log(spark, folder)))
+    return plain(reports.newest_open_errors(run_errors(spark, folder), run_states(spark, folder)))
 
 
 @query("job_registry")
@@ -628,6 +640,47 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_LOGGED: dict[tuple[str, str], str] = {}
+
+
+def logged_lake(spark: SparkSession, folder: str) -> Lake:
+    """All runs' START events logged and folded, then what ended them, with the registries loaded before, between and after."""
+    key = (spark.sparkContext.applicationId, folder)
+    with _CHECKING:
+        if key not in _LOGGED:
+            lake, events = Lake(spark, scratch(spark, "lake")), run_events(spark, folder)
+            layers.load_registries(lake, [], FIRST_LOAD)
+            ran = [r.job_name for r in events.select("job_name").distinct().collect()]  # job names only
+            for at, step, part in ((FIRST_LOAD, "started", "event = 'START'"), (SECOND_LOAD, "ended", "event <> 'START'")):
+                batch = lake.begin(step)
+                layers.log_events(lake, batch, events.where(part), rebalance=True)
+                lake.commit(batch, at)
+                layers.fold_runs(lake, at)
+                layers.load_registries(lake, ran, SECOND_LOAD)
+            _LOGGED[key] = lake.root
+    return Lake(spark, _LOGGED[key])
+
+
+@query("layers_run_days")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The statistics by day, added up from the stored day rows of two folds."""
+    return plain(reports.stats_of_days(layers.run_days(logged_lake(spark, folder))))
+
+
+@query("layers_latest_runs")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Each job's newest run, from the newest run of each day."""
+    return plain(reports.latest_run_status(layers.run_days(logged_lake(spark, folder))))
+
+
+@query("layers_job_registry")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored registry after it was loaded three times, with how often each job ran."""
+    lake = logged_lake(spark, folder)
+    ran = layers.run_days(lake).groupBy("job_name").agg(F.sum("total_runs").alias("runs"))
+    return plain(layers.job_registry(lake).join(ran, "job_name", "left"))
+
+
 THIRD_LOAD = SECOND_LOAD + dt.timedelta(hours=2)
 
 

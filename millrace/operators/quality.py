@@ -7,7 +7,7 @@ rules costs one scan: the summary is one aggregation, the errors one explode.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -284,12 +284,17 @@ def check_rows(raw: DataFrame, checks: dict[str, tuple[Column, str]], ctx: Check
     )
 
 
-def rules_table(spark: SparkSession, feeds: Sequence) -> DataFrame:
-    """The rule objects rendered as a catalogue."""
-    rows = []
+def rule_lines(feeds: Iterable) -> list[tuple[str, ...]]:
+    """The rule objects rendered: feed, table, column, type, text."""
+    lines = []
     for feed in feeds:
-        rows.append((feed.name, feed.raw_table, "ALL", "ROW_COUNT_RECONCILIATION", "Rows per source file against rows landed"))
-        rows += [(feed.name, feed.raw_table, r.column, r.rule_type, r.detail) for r in feed.rules]
+        lines.append((feed.name, feed.raw_table, "ALL", "ROW_COUNT_RECONCILIATION", "Rows per source file against rows landed"))
+        lines += [(feed.name, feed.raw_table, r.column, r.rule_type, r.detail) for r in feed.rules]
+    return lines
+
+
+def rules_table(spark: SparkSession, feeds: Iterable) -> DataFrame:
+    """The rule objects as a catalogue."""
     return spark.createDataFrame(
-        rows, "feed_name string, table_name string, column_name string, rule_type string, rule_detail string"
+        rule_lines(feeds), "feed_name string, table_name string, column_name string, rule_type string, rule_detail string"
     )

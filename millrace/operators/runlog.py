@@ -1,4 +1,7 @@
-"""The run log as appended events, folded to the present state when read."""
+"""The run log as appended events, folded to the present state when read.
+
+An event carries the day its run started, so all events of a run lie in one month's partition and a day is folded by itself.
+"""
 
 from __future__ import annotations
 
@@ -6,17 +9,19 @@ import datetime as dt
 import json
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.functions.casts import seconds_between
+from millrace.operators.latest import latest_by_key, newest_first
 from millrace.operators.merge import insert_absent
 from millrace.session import few_rows
 
 ROW_COUNTERS = ("rows_read", "rows_inserted", "rows_updated", "rows_deleted", "rows_rejected")
 
 EVENT_SCHEMA = (
-    "run_id bigint, job_name string, event string, event_ts timestamp_ntz, "
+    "run_id bigint, job_name string, run_date date, event string, event_ts timestamp_ntz, "
     + ", ".join(f"{c} bigint" for c in ROW_COUNTERS)
     + ", triggered_by string, warehouse_used string, query_id string, comments string"
 )
@@ -25,6 +30,17 @@ ERROR_SCHEMA = (
     "sql_state string, error_message string, error_context string, severity string, "
     "is_resolved boolean, resolved_at timestamp_ntz, resolved_by string"
 )
+STATE_COLUMNS = ("status", "start_time", "end_time", "duration_seconds", *ROW_COUNTERS)
+DAY_TOTALS = (
+    "total_runs", "successful_runs", "failed_runs", "warning_runs",
+    *[f"total_{c}" for c in ROW_COUNTERS], "timed_runs", "total_duration_seconds",
+)
+DAY_SCHEMA = (
+    "run_date date, job_name string, "
+    + ", ".join(f"{c} bigint" for c in (*DAY_TOTALS, "max_duration_seconds"))
+    + ", run_id bigint, status string, start_time timestamp_ntz, end_time timestamp_ntz, duration_seconds bigint, "
+    + ", ".join(f"{c} bigint" for c in ROW_COUNTERS)
+)
 JOB_SCHEMA = (
     "job_name string, layer string, source_object string, target_object string, schedule_cron string, "
     "is_active boolean, created_at timestamp_ntz"
@@ -57,9 +73,13 @@ def job_rows(spark: SparkSession, created_at: dt.datetime) -> DataFrame:
 
 def register_jobs(registry: DataFrame, events: DataFrame, created_at: dt.datetime) -> DataFrame:
     """The registry plus an AD_HOC row for each job that ran without being in it."""
-    ran = events.select("job_name").distinct()
-    unknown = insert_absent(registry, ran, ["job_name"])
-    added = unknown.select(
+    return registry.unionByName(ad_hoc_jobs(registry, events, created_at))
+
+
+def ad_hoc_jobs(registry: DataFrame, events: DataFrame, created_at: dt.datetime) -> DataFrame:
+    """An AD_HOC row for each job that ran without being in the registry."""
+    unknown = insert_absent(registry, events.select("job_name").distinct(), ["job_name"])
+    return unknown.select(
         "job_name",
         F.lit("AD_HOC").alias("layer"),
         F.lit(None).cast("string").alias("source_object"),
@@ -68,21 +88,26 @@ def register_jobs(registry: DataFrame, events: DataFrame, created_at: dt.datetim
         F.lit(True).alias("is_active"),
         F.lit(created_at).cast("timestamp_ntz").alias("created_at"),
     )
-    return registry.unionByName(added)
 
 
 def start_event(run_id: int, job: str, at: dt.datetime, triggered_by: str) -> dict:
-    return {"run_id": run_id, "job_name": job, "event": "START", "event_ts": at, "triggered_by": triggered_by}
+    return {**_event(run_id, job, "START", at, None), "triggered_by": triggered_by}
 
 
-def end_event(run_id: int, job: str, at: dt.datetime, comments: str = "", **rows: int) -> dict:
-    """Ends a run; it counts as WARNING when rows were rejected."""
+def end_event(
+    run_id: int, job: str, at: dt.datetime, comments: str = "", day: dt.date | None = None, **rows: int
+) -> dict:
+    """Ends a run; it counts as WARNING when rows were rejected. `day` is that of its start, if it is another than `at`'s."""
     counters = {c: int(rows.get(c, 0)) for c in ROW_COUNTERS}
-    return {"run_id": run_id, "job_name": job, "event": "END", "event_ts": at, "comments": comments, **counters}
+    return {**_event(run_id, job, "END", at, day), "comments": comments, **counters}
+
+
+def fail_event(run_id: int, job: str, at: dt.datetime, message: str, day: dt.date | None = None) -> dict:
+    return {**_event(run_id, job, "FAIL", at, day), "comments": message[:1000]}
 
 
-def fail_event(run_id: int, job: str, at: dt.datetime, message: str) -> dict:
-    return {"run_id": run_id, "job_name": job, "event": "FAIL", "event_ts": at, "comments": message[:1000]}
+def _event(run_id: int, job: str, event: str, at: dt.datetime, day: dt.date | None) -> dict:
+    return {"run_id": run_id, "job_name": job, "run_date": day or at.date(), "event": event, "event_ts": at}
 
 
 def error_row(
@@ -115,26 +140,53 @@ def rows_as_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFra
     return few_rows(spark, [[row.get(n) for n in names] for row in rows], schema)
 
 
+def run_states(events: DataFrame) -> DataFrame:
+    """One row per run: RUNNING until it ends, then SUCCESS, WARNING or FAILED, without the texts of its events.
+
+    A run's newest END or FAIL decides, at one time a FAIL; ENDs at one time count as one, with the larger of each counter.
+    The state has columns of fixed width alone, so events are hashed and never sorted, and a filter on `run_date` reaches
+    the events' scan.
+    """
+    run = ["run_date", "run_id", "job_name"]
+    ended, failed = F.col("event") == "END", F.col("event") == "FAIL"
+    moments = events.groupBy(*run, "event_ts").agg(
+        F.max(F.col("event") == "START").alias("starts"),
+        F.max(ended | failed).alias("closes"),
+        F.max(failed).alias("fails"),
+        *[F.max(F.when(ended, F.col(c))).alias(c) for c in ROW_COUNTERS],
+    )
+    closing = F.when(F.col("closes"), F.col("event_ts"))
+    folded = moments.groupBy(*run).agg(
+        F.min(F.when(F.col("starts"), F.col("event_ts"))).alias("start_time"),
+        F.max(closing).alias("end_time"),
+        F.max_by("fails", closing).alias("failed"),
+        *[F.max_by(F.when(~F.col("fails"), F.col(c)), closing).alias(c) for c in ROW_COUNTERS],
+    )
+    counters = [F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ROW_COUNTERS]
+    status = _status(F.col("end_time").isNull(), F.col("failed"), F.col("rows_rejected"))
+    seconds = seconds_between("start_time", "end_time").cast("bigint").alias("duration_seconds")
+    return folded.select(*run, status.alias("status"), "start_time", "end_time", seconds, *counters)
+
+
+def _status(runs_on: Column, failed: Column, rejected: Column) -> Column:
+    bad = F.coalesce(rejected, F.lit(0)) > 0
+    return F.when(runs_on, "RUNNING").when(failed, "FAILED").when(bad, "WARNING").otherwise("SUCCESS")
+
+
 def run_log(events: DataFrame) -> DataFrame:
-    """One row per run: RUNNING until it ends, then SUCCESS, WARNING or FAILED.
+    """One row per run, with what its events say in words.
 
-    One aggregation by run; a run's newest END or FAIL decides.
+    One aggregation by run; a run's newest END or FAIL decides, of ENDs at one time that with the larger counters and comment.
     """
     closing = F.col("event").isin("END", "FAIL")
     last = F.max(F.when(closing, F.struct("event_ts", "event", *ROW_COUNTERS, "comments")))
     started = F.min(F.when(F.col("event") == "START", F.struct("event_ts", "triggered_by", "warehouse_used", "query_id")))
-    folded = events.groupBy("run_id", "job_name").agg(started.alias("first"), last.alias("last"))
-    rejected = F.coalesce(F.col("last.rows_rejected"), F.lit(0))
-    status = (
-        F.when(F.col("last.event").isNull(), "RUNNING")
-        .when(F.col("last.event") == "FAIL", "FAILED")
-        .when(rejected > 0, "WARNING")
-        .otherwise("SUCCESS")
-    )
+    folded = events.groupBy("run_date", "run_id", "job_name").agg(started.alias("first"), last.alias("last"))
+    status = _status(F.col("last.event").isNull(), F.col("last.event") == "FAIL", F.col("last.rows_rejected"))
     return folded.select(
         "run_id",
         "job_name",
-        F.to_date("first.event_ts").alias("run_date"),
+        "run_date",
         F.col("first.event_ts").alias("start_time"),
         F.col("last.event_ts").alias("end_time"),
         status.alias("status"),
@@ -145,3 +197,28 @@ def run_log(events: DataFrame) -> DataFrame:
         F.col("first.query_id").alias("query_id"),
         F.col("last.comments").alias("comments"),
     )
+
+
+def day_rows(states: DataFrame) -> DataFrame:
+    """One row per job and day: sums that can be added up further, and the day's newest run.
+
+    The newest run is found with a limit before the shuffle, so a job with very many runs a day is no large task.
+    """
+    def runs_with(status: str) -> Column:
+        return F.count_if(F.col("status") == status)
+
+    totals = states.groupBy("run_date", "job_name").agg(
+        F.count(F.lit(1)).alias("total_runs"),
+        runs_with("SUCCESS").alias("successful_runs"),
+        runs_with("FAILED").alias("failed_runs"),
+        runs_with("WARNING").alias("warning_runs"),
+        *[F.sum(c).alias(f"total_{c}") for c in ROW_COUNTERS],
+        F.count("duration_seconds").alias("timed_runs"),
+        F.sum("duration_seconds").alias("total_duration_seconds"),
+        F.max("duration_seconds").alias("max_duration_seconds"),
+    )
+    newest = latest_by_key(states, ["run_date", "job_name"], newest_first("start_time", "run_id")).select(
+        F.col("run_date").alias("_day"), F.col("job_name").alias("_job"), "run_id", *STATE_COLUMNS
+    )
+    same = F.col("run_date").eqNullSafe(F.col("_day")) & F.col("job_name").eqNullSafe(F.col("_job"))
+    return totals.join(newest, same).select(*[f.name for f in StructType.fromDDL(DAY_SCHEMA)])

@@ -6,7 +6,9 @@ Each layer runs on its own. A feed that fails is logged and does not stop the ot
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import traceback
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -17,6 +19,7 @@ from millrace.feeds import CURATED_ORDER, FEEDS, Feed, pick
 from millrace.functions.casts import month_of
 from millrace.operators import quality, runlog
 from millrace.operators.curate import append_fact, merge_target, target_rows
+from millrace.operators.governance import ROLE_REGIONS
 from millrace.operators.history import end_versions, open_versions
 from millrace.operators.changes import net_changes
 from millrace.operators.merge import SMALL_ROWS, change_pairs, insert_absent, op_counters, upsert
@@ -44,6 +47,8 @@ DQ_SCHEMA = (
     "run_id bigint, job_name string, check_name string, table_name string, check_sql string, "
     "records_checked bigint, records_failed bigint, check_status string, checked_at timestamp_ntz"
 )
+RULE_SCHEMA = "feed_name string, table_name string, column_name string, rule_type string, rule_detail string"
+REGION_SCHEMA = "role_name string, region string"
 OUTCOME_SCHEMA = (
     "layer string, job_name string, status string, rows_read bigint, rows_inserted bigint, rows_updated bigint, "
     "rows_rejected bigint, message string"
@@ -51,6 +56,10 @@ OUTCOME_SCHEMA = (
 
 EVENTS = "audit/events"
 ERRORS = "audit/errors"
+RUN_DAYS = "audit/run_days"
+JOB_REGISTRY = "audit/jobs"
+RULE_REGISTRY = "validation/rules"
+REGION_REGISTRY = "governance/role_regions"
 LOADS = "audit/loads"
 DQ_CHECKS = "audit/dq_checks"
 SUMMARY = "validation/summary"
@@ -348,6 +357,7 @@ class Run:
 
     def run(self, jobs: list[tuple[str, Callable[[int], dict]]], threads: int) -> list[tuple]:
         self.ids = {job: self.base + i for i, (job, _) in enumerate(jobs)}
+        load_registries(self.lake, [job for job, _ in jobs], self.at)
         self._append(
             "started", [runlog.start_event(self.ids[job], job, self.at, self.triggered_by) for job, _ in jobs], []
         )
@@ -363,7 +373,7 @@ class Run:
             result = work(run_id)
             at = self.at + (dt.datetime.now() - started)
             rows = {c: result.get(c, 0) for c in runlog.ROW_COUNTERS}
-            self.events.append(runlog.end_event(run_id, job, at, result.get("comments", ""), **rows))
+            self.events.append(runlog.end_event(run_id, job, at, result.get("comments", ""), self.at.date(), **rows))
             for i, warning in enumerate(result.get("warnings", [])):
                 self.errors.append(
                     runlog.error_row(run_id * 1000 + i, run_id, job, at, "FILE_FORMAT", warning, severity="WARNING")
@@ -374,7 +384,7 @@ class Run:
             at = self.at + (dt.datetime.now() - started)
             message = f"{type(error).__name__}: {error}"
             context = {"layer": self.layer, "trace": traceback.format_exc()}
-            self.events.append(runlog.fail_event(run_id, job, at, message))
+            self.events.append(runlog.fail_event(run_id, job, at, message, self.at.date()))
             self.errors.append(runlog.error_row(run_id * 1000, run_id, job, at, "SPARK_ERROR", message, context))
             self.outcomes.append((self.layer, job, "FAILED", 0, 0, 0, 0, message))
 
@@ -382,7 +392,7 @@ class Run:
         batch = self.lake.begin(f"{self.batch_id}-{step}")
         spark = self.lake.spark
         if events:
-            self.lake.write(batch, EVENTS, runlog.rows_as_table(spark, events, runlog.EVENT_SCHEMA))
+            log_events(self.lake, batch, runlog.rows_as_table(spark, events, runlog.EVENT_SCHEMA), rebalance=False)
         if errors:
             self.lake.write(batch, ERRORS, runlog.rows_as_table(spark, errors, runlog.ERROR_SCHEMA))
         self.lake.commit(batch, self.at)
@@ -588,8 +598,100 @@ def run_layers(
 # -- logs ------------------------------------------------------------------------------
 
 
-def runs(lake: Lake) -> DataFrame:
-    return runlog.run_log(lake.read(EVENTS, runlog.EVENT_SCHEMA))
+def day_part() -> Column:
+    """The partition of an event or a day row: the month of its run's start."""
+    return F.coalesce(month_of("run_date"), F.lit("none"))
+
+
+def log_events(lake: Lake, batch: Batch, events: DataFrame, rebalance: bool = True) -> None:
+    lake.write(batch, EVENTS, events, split_by=day_part(), sort_within=["run_date"], rebalance=rebalance)
+
+
+def run_events(lake: Lake, day: dt.date | None = None) -> DataFrame:
+    """The events of all runs, or of those that started on one day, read from that day's month alone."""
+    if day is None:
+        return lake.read(EVENTS, runlog.EVENT_SCHEMA)
+    return lake.read(EVENTS, runlog.EVENT_SCHEMA, only={f"{day:%Y-%m}"}).where(F.col("run_date") == F.lit(day))
+
+
+def runs(lake: Lake, day: dt.date | None = None) -> DataFrame:
+    return runlog.run_log(run_events(lake, day))
+
+
+def fold_runs(lake: Lake, at: dt.datetime) -> set[str]:
+    """Brings the stored day rows up to the events there are; returns the months that were worked out again.
+
+    Only months with events since the last fold are read and replaced; how far the fold read is published with them. An
+    event that comes late, the end of a run that started last month for instance, has its own month folded again.
+    """
+    lake.refresh()
+    done, arrived = lake.noted("folded/runs"), lake.batches(EVENTS)
+    if not arrived or arrived[-1] == done:
+        return set()
+    newest = arrived[-1]
+    months = lake.part_names(EVENTS, done, newest)
+    batch = lake.begin(f"fold-after-{newest}")
+    events = lake.read(EVENTS, runlog.EVENT_SCHEMA, only=months, until=newest)
+    days = runlog.day_rows(runlog.run_states(events))
+    lake.write(batch, RUN_DAYS, days, replaces=True, split_by=day_part(), sort_within=["run_date", "job_name"])
+    batch.note("folded/runs", newest)
+    lake.commit(batch, at)
+    return months
+
+
+def run_days(lake: Lake) -> DataFrame:
+    """A row per job and day, as of the last `fold_runs`."""
+    return lake.read(RUN_DAYS, runlog.DAY_SCHEMA)
+
+
+def job_registry(lake: Lake) -> DataFrame:
+    return lake.read(JOB_REGISTRY, runlog.JOB_SCHEMA)
+
+
+def rule_registry(lake: Lake) -> DataFrame:
+    return lake.read(RULE_REGISTRY, RULE_SCHEMA)
+
+
+def role_regions(lake: Lake) -> DataFrame:
+    """The role map that `governance.secure` takes."""
+    return lake.read(REGION_REGISTRY, REGION_SCHEMA)
+
+
+def add_absent(lake: Lake, batch: Batch, table: str, schema: str, rows: DataFrame, keys: list[str]) -> int:
+    """Adds the rows whose key a registry does not hold; returns how many. Rows that are there keep their values."""
+    path, counts = lake.write(batch, table, insert_absent(lake.read(table, schema), rows, keys), register=False)
+    if counts["rows"]:
+        batch.parts.append(Part(table, False, None, path, counts["rows"]))
+    return counts["rows"]
+
+
+def load_registries(lake: Lake, jobs: Iterable[str], at: dt.datetime) -> None:
+    """Stores the fixed jobs, rules and role regions, and an AD_HOC row for each of `jobs` that no registry knows.
+
+    The commit log notes which fixed rows and which other jobs are in, so a run that brings nothing new reads no table.
+    """
+    spark = lake.spark
+    fixed = hashlib.sha256(repr((runlog.JOBS, quality.rule_lines(FEEDS.values()), ROLE_REGIONS)).encode()).hexdigest()
+    known = {job[0] for job in runlog.JOBS}
+    others = [job for job in dict.fromkeys(jobs) if job not in known and lake.noted(f"job/{job}") is None]
+    stale = lake.noted("registries") != fixed
+    if not others and not stale:
+        return
+    batch = lake.begin(f"registries-{fixed[:16]}-{uuid.uuid4().hex}")
+    rows = runlog.job_rows(spark, at)
+    if others:
+        ran = few_rows(spark, [[job] for job in others], "job_name string")
+        rows = rows.unionByName(runlog.ad_hoc_jobs(rows, ran, at))
+    add_absent(lake, batch, JOB_REGISTRY, runlog.JOB_SCHEMA, rows, ["job_name"])
+    if stale:
+        rules = few_rows(spark, quality.rule_lines(FEEDS.values()), RULE_SCHEMA)
+        add_absent(lake, batch, RULE_REGISTRY, RULE_SCHEMA, rules, ["feed_name", "column_name", "rule_type"])
+        regions = few_rows(spark, ROLE_REGIONS, REGION_SCHEMA)
+        add_absent(lake, batch, REGION_REGISTRY, REGION_SCHEMA, regions, ["role_name", "region"])
+    batch.note("registries", fixed)
+    for job in others:
+        batch.note(f"job/{job}", "AD_HOC")
+    lake.commit(batch, at)
 
 
 def errors(lake: Lake) -> DataFrame:
@@ -617,6 +719,6 @@ def dq_checks(lake: Lake) -> DataFrame:
 
 
 def day_report(lake: Lake, as_of: dt.date) -> tuple[DataFrame, DataFrame]:
-    """The day's run statistics and the twenty newest open errors."""
-    log = runs(lake)
-    return reports.daily_summary(log, as_of), reports.newest_open_errors(errors(lake), log)
+    """The day's run statistics, from its month's events alone, and the twenty newest open errors."""
+    day = runlog.run_states(run_events(lake, as_of))
+    return reports.daily_summary(day, as_of), reports.newest_open_errors(errors(lake), runlog.run_states(run_events(lake)))

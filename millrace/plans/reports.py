@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.casts import percent, to_date_or_null
 from millrace.operators.latest import latest_by_key, newest_first
+from millrace.operators.runlog import DAY_TOTALS
 
 Tables = Mapping[str, DataFrame]
 
@@ -110,6 +111,21 @@ def latest_run_status(runs: DataFrame) -> DataFrame:
     return latest_by_key(rows, ["job_name"], newest_first("start_time", "run_id")).drop("run_id")
 
 
+def stats_of_days(days: DataFrame) -> DataFrame:
+    """`daily_run_stats` from stored day rows; rows of one job and day, from several logs, add up."""
+    seconds, timed = F.sum("total_duration_seconds"), F.sum("timed_runs")
+    added = [c for c in DAY_TOTALS if c not in ("total_rows_deleted", "timed_runs", "total_duration_seconds")]
+    return (
+        days.groupBy("run_date", "job_name")
+        .agg(
+            *[F.sum(c).alias(c) for c in added],
+            F.round(seconds / F.nullif(timed, F.lit(0)), 1).alias("avg_duration_seconds"),
+            F.max("max_duration_seconds").alias("max_duration_seconds"),
+        )
+        .orderBy(F.desc("run_date"), "job_name")
+    )
+
+
 def open_errors(errors: DataFrame, runs: DataFrame) -> DataFrame:
     """Unresolved errors with how their run stands, newest first."""
     status = runs.select("run_id", F.col("status").alias("run_status"))

@@ -61,6 +61,7 @@ def arrow_schema(struct: StructType) -> pa.Schema:
         "string": pa.string(),
         "bigint": pa.int64(),
         "boolean": pa.bool_(),
+        "date": pa.date32(),
         "timestamp_ntz": pa.timestamp("us"),
     }
     return pa.schema([(f.name, kinds[f.dataType.simpleString()]) for f in struct.fields])

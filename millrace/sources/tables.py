@@ -109,9 +109,9 @@ class Lake:
         live = self._live(table, after, until)
         return [row.path for part, rows in live.items() if only is None or part in only for row in rows]
 
-    def part_names(self, table: str) -> set[str]:
-        """Partitions that the table has rows in."""
-        return {part for part, rows in self._live(table).items() if rows and part is not None}
+    def part_names(self, table: str, after: str | None = None, until: str | None = None) -> set[str]:
+        """Partitions that the table has rows in, or those that batches later than `after`, up to `until`, added to."""
+        return {part for part, rows in self._live(table, after, until).items() if rows and part is not None}
 
     def count(self, table: str, after: str | None = None, until: str | None = None) -> int:
         """Rows according to the log; no data is read."""

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.feeds import FEEDS, pick
+from millrace.operators import governance, quality, runlog
 from millrace.plans import layers, reports
 from millrace.sources.tables import Lake
 from millrace.streaming.jobs import stream_distinct, stream_feed_files, stream_raw, stream_to_target
@@ -380,3 +381,52 @@ def test_removed_keys_reach_the_dimension_by_policy(spark, lake, tmp_path, rows,
     current = {"keep": [("C0", "P1"), ("C1", "P3"), ("C2", "P1"), ("C3", "P1")], "close": [("C0", "P1"), ("C1", "P3")]}[on_delete]
     assert rows(layers.read_target(lake, feed).where("is_current"), "customer_id", "plan_id") == current
     assert layers.read_target(lake, feed).count() == 5
+
+
+def test_day_rows_follow_the_events_month_by_month(spark, lake, tmp_path, rows):
+    later = D1 + dt.timedelta(days=40)
+    send(tmp_path / "in", "towers", "a.csv", {})
+    layers.run_raw(lake, str(tmp_path / "in"), [FEEDS["towers"]], D1)
+    assert layers.fold_runs(lake, D1) == {"2024-01"} and layers.fold_runs(lake, D1) == set()
+    first = lake.parts(layers.RUN_DAYS)
+
+    layers.run_staging(lake, [FEEDS["towers"]], later)
+    assert layers.fold_runs(lake, later) == {"2024-02"}
+    assert set(first) < set(lake.parts(layers.RUN_DAYS))  # January was not written again
+
+    # The end of a run that started in January, logged in February.
+    batch = lake.begin("late")
+    late = [runlog.start_event(7, "LONG", D2, "TASK"), runlog.end_event(7, "LONG", later, day=D2.date(), rows_read=4)]
+    layers.log_events(lake, batch, runlog.rows_as_table(spark, late, runlog.EVENT_SCHEMA), rebalance=False)
+    lake.commit(batch, later)
+    assert layers.fold_runs(lake, later) == {"2024-01"}
+    days = layers.run_days(lake)
+    assert rows(reports.stats_of_days(days)) == rows(reports.daily_run_stats(layers.runs(lake)))
+    assert days.where("job_name = 'LONG'").first().total_rows_read == 4
+    assert rows(layers.runs(lake, D2.date()), "job_name") == [("LONG",)]
+
+
+def test_registries_hold_one_row_per_job_rule_and_region(spark, lake, tmp_path, rows):
+    send(tmp_path / "in", "towers", "a.csv", {})
+    feed = FEEDS["towers"]
+    for at in (D1, D2):
+        layers.run_raw(lake, str(tmp_path / "in"), [feed], at)
+        layers.run_staging(lake, [feed], at)
+    jobs = layers.job_registry(lake)
+    assert jobs.count() == 17 == jobs.select("job_name").distinct().count()
+    assert rows(jobs.where("layer = 'AD_HOC'"), "job_name", "created_at") == [(feed.load_job, D1)]
+    rules = layers.rule_registry(lake)
+    expected = sorted(quality.rule_lines(FEEDS.values()))
+    assert sorted(tuple(r) for r in rules.collect()) == expected
+    assert len(lake.parts(layers.RULE_REGISTRY)) == 1  # the second run wrote nothing
+
+    seen = governance.row_filter(spark.createDataFrame([("NORTH",), ("SOUTH",)], "region string"), "region", "R_ANALYST_NORTH", layers.role_regions(lake))
+    assert rows(seen) == [("NORTH",)]
+
+
+def test_a_changed_registry_row_stays_as_it_was_set(spark, lake, monkeypatch):
+    layers.load_registries(lake, ["MINE"], D1)
+    monkeypatch.setattr(runlog, "JOBS", (*runlog.JOBS, ("MINE", "STAGE_LOAD", "a", "b", "c"), ("NEW", "STAGE_LOAD", "a", "b", "c")))
+    layers.load_registries(lake, ["MINE"], D2)
+    got = {r.job_name: r for r in layers.job_registry(lake).collect()}
+    assert len(got) == 18 and (got["MINE"].layer, got["MINE"].created_at, got["NEW"].created_at) == ("AD_HOC", D1, D2)

@@ -55,3 +55,50 @@ def test_unknown_jobs_are_registered_once(spark, rows):
     once = runlog.register_jobs(registry, events(spark), T)
     assert registry.count() == 16 and rows(once.where("layer = 'AD_HOC'"), "job_name") == [("A",), ("B",)]
     assert runlog.register_jobs(once, events(spark), T).count() == 18
+
+
+def test_states_agree_with_the_log(spark, rows):
+    names = ("run_id", "run_date", "job_name", *runlog.STATE_COLUMNS)
+    assert rows(runlog.run_states(events(spark)), *names) == rows(runlog.run_log(events(spark)), *names)
+    assert runlog.run_states(events(spark).limit(0)).isEmpty() and runlog.day_rows(runlog.run_states(events(spark).limit(0))).isEmpty()
+
+
+def test_ties_repeats_and_ends_past_midnight(spark):
+    past = T + dt.timedelta(days=40)
+    listed = [
+        runlog.start_event(1, "A", T, "TASK"),
+        runlog.end_event(1, "A", past, "x", T.date(), rows_read=5, rows_inserted=1),
+        runlog.end_event(1, "A", past, "y", T.date(), rows_read=3, rows_inserted=2),
+        runlog.end_event(1, "A", later(3), "early", rows_read=99),
+        runlog.start_event(2, "A", T, "TASK"),
+        runlog.end_event(2, "A", later(9), rows_read=7),
+        runlog.fail_event(2, "A", later(9), "broke"),
+        runlog.end_event(3, None, later(1), rows_rejected=1),
+        runlog.start_event(4, "B", T, "TASK"),
+    ]
+    table = runlog.rows_as_table(spark, [*listed, *listed], runlog.EVENT_SCHEMA)
+    got = {r.run_id: r for r in runlog.run_states(table).collect()}
+    assert len(got) == 4 and got[1].run_date == T.date()
+    assert (got[1].end_time, got[1].rows_read, got[1].rows_inserted) == (past, 5, 2)
+    assert (got[2].status, got[2].rows_read) == ("FAILED", 0)
+    assert (got[3].status, got[3].job_name, got[3].start_time) == ("WARNING", None, None)
+    days = {r.job_name: r for r in runlog.day_rows(runlog.run_states(table)).collect()}
+    assert set(days) == {"A", "B", None} and (days["A"].total_runs, days["A"].run_id, days[None].timed_runs) == (2, 2, 0)
+
+
+def test_day_rows_add_up(spark, rows):
+    """Day rows of two halves of the runs add up to those of all runs."""
+    states = runlog.run_states(events(spark))
+    parts = [runlog.day_rows(states.where(half)) for half in ("run_id <= 2 OR run_id = 4", "run_id = 3")]
+    whole = rows(reports.daily_run_stats(states))
+    assert rows(reports.stats_of_days(parts[0].unionByName(parts[1]))) == whole
+    assert rows(reports.stats_of_days(runlog.day_rows(states))) == whole
+    names = ("job_name", "status", "start_time", "duration_seconds")
+    assert rows(reports.latest_run_status(parts[0].unionByName(parts[1])), *names) == rows(reports.latest_run_status(states), *names)
+
+
+def test_a_day_is_folded_by_hash_from_its_rows_alone(spark, tmp_path):
+    events(spark).write.parquet(str(tmp_path / "events"))
+    kept = spark.read.parquet(str(tmp_path / "events"))
+    text = reports.daily_summary(runlog.run_states(kept), T.date())._jdf.queryExecution().toString()
+    assert "EqualTo(run_date,2024-01-02)" in text and "SortAggregate" not in text
