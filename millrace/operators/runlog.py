@@ -135,6 +135,11 @@ def error_row(
     }
 
 
+def numbered(errors: list[dict], after: int) -> list[dict]:
+    """Error rows with ids after + 1, after + 2, ... by run, a run's in the order they were found."""
+    return [{**row, "error_id": after + 1 + i} for i, row in enumerate(sorted(errors, key=lambda row: row["run_id"]))]
+
+
 def rows_as_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     names = [part.split()[0] for part in schema.split(", ")]
     return few_rows(spark, [[row.get(n) for n in names] for row in rows], schema)

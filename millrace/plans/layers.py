@@ -374,10 +374,8 @@ class Run:
             at = self.at + (dt.datetime.now() - started)
             rows = {c: result.get(c, 0) for c in runlog.ROW_COUNTERS}
             self.events.append(runlog.end_event(run_id, job, at, result.get("comments", ""), self.at.date(), **rows))
-            for i, warning in enumerate(result.get("warnings", [])):
-                self.errors.append(
-                    runlog.error_row(run_id * 1000 + i, run_id, job, at, "FILE_FORMAT", warning, severity="WARNING")
-                )
+            for warning, context in result.get("warnings", []):
+                self.errors.append(runlog.error_row(0, run_id, job, at, "FILE_FORMAT", warning, context, "WARNING"))
             status = "WARNING" if rows["rows_rejected"] else "SUCCESS"
             self.outcomes.append((self.layer, job, status, *[rows[c] for c in _SHOWN], result.get("comments", "")))
         except Exception as error:  # one feed must not stop the others
@@ -385,16 +383,19 @@ class Run:
             message = f"{type(error).__name__}: {error}"
             context = {"layer": self.layer, "trace": traceback.format_exc()}
             self.events.append(runlog.fail_event(run_id, job, at, message, self.at.date()))
-            self.errors.append(runlog.error_row(run_id * 1000, run_id, job, at, "SPARK_ERROR", message, context))
+            self.errors.append(runlog.error_row(0, run_id, job, at, "SPARK_ERROR", message, context))
             self.outcomes.append((self.layer, job, "FAILED", 0, 0, 0, 0, message))
 
     def _append(self, step: str, events: list[dict], errors: list[dict]) -> None:
+        self.lake.refresh()
         batch = self.lake.begin(f"{self.batch_id}-{step}")
         spark = self.lake.spark
         if events:
             log_events(self.lake, batch, runlog.rows_as_table(spark, events, runlog.EVENT_SCHEMA), rebalance=False)
         if errors:
-            self.lake.write(batch, ERRORS, runlog.rows_as_table(spark, errors, runlog.ERROR_SCHEMA))
+            numbered = runlog.numbered(errors, int(self.lake.noted("highest/error_id") or 0))
+            self.lake.write(batch, ERRORS, runlog.rows_as_table(spark, numbered, runlog.ERROR_SCHEMA))
+            batch.note("highest/error_id", str(numbered[-1]["error_id"]))
         self.lake.commit(batch, self.at)
 
 
@@ -427,7 +428,12 @@ def run_raw(lake: Lake, landing: str, feeds: Iterable[Feed], batch_ts: dt.dateti
             "rows_rejected": counts["rows_rejected"],
             "comments": f"{feed.raw_table} load complete: {len(paths)} file(s)",
             "warnings": [
-                f"File {r.source_file_name} had {r.errors_seen} row errors: {r.first_error}" for r in faulty.collect()
+                (
+                    f"File {r.source_file_name} had {r.errors_seen} row errors: {r.first_error}",
+                    # A load goes on past any number of errors, so its limit is all rows of the file.
+                    {"file": r.source_file_name, "error_limit": r.rows_parsed},
+                )
+                for r in faulty.orderBy("source_file_name").collect()
             ],
         }
 

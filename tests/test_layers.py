@@ -430,3 +430,19 @@ def test_a_changed_registry_row_stays_as_it_was_set(spark, lake, monkeypatch):
     layers.load_registries(lake, ["MINE"], D2)
     got = {r.job_name: r for r in layers.job_registry(lake).collect()}
     assert len(got) == 18 and (got["MINE"].layer, got["MINE"].created_at, got["NEW"].created_at) == ("AD_HOC", D1, D2)
+
+
+def test_load_warnings_name_their_file_and_are_numbered_over_runs(spark, lake, tmp_path):
+    feed, landing = FEEDS["towers"], tmp_path / "in"
+    for at, names in ((D1, "ab"), (D2, "c")):
+        for name in names:
+            send(landing, "towers", f"{name}.csv", {}, {"tower_id": "T" * 99})
+        layers.run_raw(lake, str(landing), [feed], at)
+    logged = layers.errors(lake).withColumn("context", F.parse_json("error_context"))
+    got = logged.selectExpr("error_id", "variant_get(context, '$.file', 'string')", "variant_get(context, '$.error_limit', 'int')", "severity")
+    found = sorted(tuple(r) for r in got.collect())
+    assert [(i, name.rsplit("/", 1)[-1], n, kind) for i, name, n, kind in found] == [
+        (1, "a.csv", 2, "WARNING"), (2, "b.csv", 2, "WARNING"), (3, "c.csv", 2, "WARNING")
+    ]
+    days = {r.job_name: r for r in runlog.day_rows(runlog.run_states(layers.run_events(lake, D1.date()))).collect()}
+    assert days[feed.load_job].warning_runs == 1

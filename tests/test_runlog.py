@@ -102,3 +102,10 @@ def test_a_day_is_folded_by_hash_from_its_rows_alone(spark, tmp_path):
     kept = spark.read.parquet(str(tmp_path / "events"))
     text = reports.daily_summary(runlog.run_states(kept), T.date())._jdf.queryExecution().toString()
     assert "EqualTo(run_date,2024-01-02)" in text and "SortAggregate" not in text
+
+
+def test_error_ids_follow_on_past_any_number_of_files():
+    found = [runlog.error_row(0, run, "A", T, "FILE_FORMAT", str(i), {"file": str(i)}) for run in (2, 1) for i in range(1500)]
+    got = runlog.numbered(found, 40)
+    assert [r["error_id"] for r in got] == list(range(41, 3041))
+    assert [r["run_id"] for r in got] == [1] * 1500 + [2] * 1500 and got[3]["error_message"] == "3"
