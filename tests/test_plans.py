@@ -65,3 +65,13 @@ def test_report_reads_only_its_columns(spark):
 
 def test_payments_are_summed_before_the_join(spark, no_broadcast):
     assert "partial_sum(amount" in plan(QUERIES["revenue_monthly"](spark, FOLDER))
+
+
+def test_a_day_of_the_run_log_is_one_month_of_files(spark):
+    text = plan(QUERIES["daily_summary"](spark, FOLDER))
+    assert "run_month" in text[text.index("PartitionFilters") :].split("\n")[0] and "EqualTo(run_date," in text
+
+
+@pytest.mark.parametrize("name", ["daily_run_stats", "daily_summary", "latest_run_status"])
+def test_run_statistics_sort_no_texts(spark, name):
+    assert "SortAggregate" not in plan(QUERIES[name](spark, FOLDER))
