@@ -30,7 +30,7 @@ from millrace.llm.common import slices
 
 MARK = "▁"
 BYTE_WEIGHT = 1e-12
-SLICE = 2 << 20
+SLICE = 512 << 10  # bytes of text whose lattices are held at a time, about 190 bytes for each character of distinct words
 TINY = 1e-200
 FULL = np.uint32(0xFFFFFFFF)
 ONES = (1 << 64) - 1
@@ -138,6 +138,7 @@ class Lattices:
         # Row i is for the node behind character i.
         weights = np.zeros((n, longest), np.float32)
         self.pieces = np.full((n, longest), -1, np.int32)
+        crossing = np.zeros(n + 1, np.int64)
         depth = np.arange(n) - np.repeat(self.first, self.sizes)
         left = np.repeat(self.sizes, self.sizes) - depth
         on, state = np.flatnonzero(letter >= 0), None
@@ -150,6 +151,10 @@ class Lattices:
             hit = ids >= 0
             weights[at[hit], length - 1] = v.weight[state[hit]]
             self.pieces[at[hit], length - 1] = ids[hit]
+            if length > 1:
+                behind = at[hit][weights[at[hit], length - 1] > 0]
+                crossing += np.bincount(behind - (length - 2), minlength=n + 1)
+                crossing -= np.bincount(behind + 1, minlength=n + 1)
             go = left[on] > length
             on, state = on[go], state[go]
             go = letter[on + length] >= 0
@@ -157,10 +162,6 @@ class Lattices:
             if not len(on):
                 break
         # Pieces that cross the place before a character; where there are none, a part of its own begins.
-        behind, by = np.nonzero(weights[:, 1:])
-        crossing = np.zeros(n + 1, np.int64)
-        np.add.at(crossing, behind - by, 1)
-        np.add.at(crossing, behind + 1, -1)
         begins = (np.cumsum(crossing[:-1]) == 0) | (depth == 0)
         alone = weights[:, 0] == 0
         weights[alone, 0] = BYTE_WEIGHT

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from compare import connect, difference
 from millrace.llm import decisions, dualtree, maglev, mixing, phrases, pieces, records, simhash, subwords, suffixes, warc
-from millrace.llm.common import label_sample, sampled_texts
+from millrace.llm.common import label_sample, sampled_texts, slices
 from millrace.llm.queries import MIXTURE, PIECES, QUERIES, SQL, TOKENS
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
@@ -565,3 +565,13 @@ def test_pipeline(spark, folder):
             roots = groups(prints.values())
             assert sorted(roots[prints[r["text"]]] for r in after) == sorted(set(roots[prints[r["text"]]] for r in before))
     assert corpus_pipeline.run(spark, folder).count() == len(before)
+
+
+def test_lattices_are_held_for_a_bounded_slice_of_text():
+    """Four lattices of 16 entries a character have to fit an executor's memory beside its other tasks."""
+    from millrace.llm import pieces
+
+    texts = pa.array(["".join(chr(0x4E00 + (i * 7919 + j * 104729) % 20000) for j in range(1000)) for i in range(1000)])
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    sizes = [sum(map(len, part.column("text").to_pylist())) for part in slices(iter([batch]), "text", pieces.SLICE)]
+    assert sum(sizes) == 1_000_000 and max(sizes) * 16 * 12 <= 64 << 20
