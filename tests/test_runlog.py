@@ -109,3 +109,14 @@ def test_error_ids_follow_on_past_any_number_of_files():
     got = runlog.numbered(found, 40)
     assert [r["error_id"] for r in got] == list(range(41, 3041))
     assert [r["run_id"] for r in got] == [1] * 1500 + [2] * 1500 and got[3]["error_message"] == "3"
+
+
+def test_events_are_dealt_by_run_before_they_are_folded(spark, tmp_path, rows):
+    """No task holds the events of a whole file, and a run is folded where its events meet, once."""
+    events(spark).write.parquet(str(tmp_path / "events"))
+    kept = spark.read.parquet(str(tmp_path / "events"))
+    text = runlog.run_states(kept, 10 * runlog.FOLD_EVENTS)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and ", 10)" in text
+    assert rows(runlog.run_states(kept, 10 * runlog.FOLD_EVENTS)) == rows(runlog.run_states(kept)) == rows(runlog.run_states(kept, 0))
+    days = runlog.day_rows(runlog.run_states(kept))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in days and days.count("Scan") == 1
