@@ -174,3 +174,25 @@ def test_a_quote_left_open_gathers_no_more_than_the_longest_record(spark, tmp_pa
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert sorted((r[0], len(r[1])) for r in raw) == [(2, 207), (103, len('T2,"open'))]
     assert not good and bad == {("T1", "region is longer than 50: 200"), ("T2", files.UNCLOSED)}
+
+
+def test_files_are_scanned_once_for_their_blocks_and_once_for_their_records(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text(HEAD + "T1,N,1,2,3,A\n \t\n!,S,1,2,3,A\n")
+    (tmp_path / "b.csv").write_text(HEAD)
+    (tmp_path / "c.csv").write_text("\n\n")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    read = files.read_feed(spark, TOWERS, str(tmp_path), AT)
+    assert rows(read, "tower_id", "_line") == [("!", 4), ("T1", 2)]
+    assert plan(read).count("FileScan text") == 1
+    counts = files.source_file_counts(spark, TOWERS, str(tmp_path))
+    assert rows(counts, "source_row_count") == [(2,)] and "FileScan text" not in plan(counts)
+    (tmp_path / "d.csv").write_text(HEAD + 'T2,"N\nO",1,2,3,A\n\nT3,N\n')
+    assert rows(files.source_file_counts(spark, TOWERS, str(tmp_path)), "source_row_count") == [(2,), (2,)]
+    assert rows(files.read_feed(spark, TOWERS, str(tmp_path), AT), "tower_id", "_line") == [("!", 4), ("T1", 2), ("T2", 2), ("T3", 5)]
+
+
+def test_blocks_do_not_follow_the_cores(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(HEAD + "T1,N,1,2,3,A\n")
+    spark.conf.unset("spark.sql.files.minPartitionNum")
+    files.read_feed(spark, TOWERS, str(tmp_path), AT)
+    assert spark.conf.get("spark.sql.files.minPartitionNum") == str(spark.sparkContext.defaultParallelism)
