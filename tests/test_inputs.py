@@ -44,3 +44,15 @@ def test_merges_are_counted_without_being_stored(spark):
         return
     QUERIES["merge_counts"](spark, folder)
     assert not [name for _, _, name in inputs._STORED if name.startswith("merged/")]
+
+
+def test_curated_facts_store_no_steps_of_their_own(spark):
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        return
+    inputs._STORED.clear()
+    QUERIES["monthly_summary"](spark, folder)
+    facts = ("billing", "payments", "cdr")
+    names = [name for _, _, name in inputs._STORED]
+    assert {"raw/payments", "curated/fact_payments"} <= set(names)
+    assert not [n for n in names if n.startswith(("staging/", "merged/", "first/")) and any(f in n for f in facts)]
